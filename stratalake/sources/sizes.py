@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 def estimated_bytes(rows: DataFrame) -> int:
     """The optimizer's size estimate (exact file sizes for a plain scan)."""
     stats = rows._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_limit(rows: DataFrame) -> int:
