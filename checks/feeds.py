@@ -7,6 +7,8 @@ data has it. Text is made untidy to give the normalisers something to do.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Customers are delivered once for each of these periods of their orders.
@@ -22,7 +24,9 @@ BALANCE_SPLIT = 1000
 GOLD_SPEND, SILVER_SPEND = 1_000_000, 500_000
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -143,9 +143,14 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land(rows: DataFrame, label: str) -> str:
-    """Write rows as CSV files with a header and return the folder."""
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.option("header", True).csv(path)
+    """Write rows as several CSV files with a header and return the folder.
+
+    The given tables are one file and one row group each, so without the
+    repartition a landing folder would hold one file however large.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, label)
+    rows.repartition(spark.sparkContext.defaultParallelism).write.option("header", True).csv(path)
     return path
 
 

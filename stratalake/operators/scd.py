@@ -56,8 +56,10 @@ def scd1_apply(
 ) -> DataFrame:
     """Type 1 load: update known keys, number and add new ones."""
     source = source.select(key, *attributes)
-    fresh = new_keys(dim, source, [key]).withColumn("updated_at", as_timestamp(batch_ts))
-    numbered = assign_surrogate_keys(fresh, sk, [key], max_surrogate_key(dim, sk))
+    fresh = stage(new_keys(dim, source, [key]), "scd1")
+    numbered = assign_surrogate_keys(
+        fresh.withColumn("updated_at", as_timestamp(batch_ts)), sk, [key], max_surrogate_key(dim, sk)
+    )
     loaded = append_rows(scd1_update(dim, source, key, attributes, batch_ts), numbered)
     return append_rows(loaded, _guard(loaded, source, key)) if check else loaded
 
@@ -122,12 +124,14 @@ def scd2_apply(
     """Type 2 load: close changed versions at ``batch_ts`` and open new ones from it.
 
     Both ends use the same time, so versions are half-open intervals without a
-    gap. A key that vanishes from the snapshot stays current. ``sk_mode`` is
+    gap. The changes are written out before they are numbered, closed and added,
+    so the snapshot is compared with the dimension once. A key that vanishes
+    from the snapshot stays current. ``sk_mode`` is
     ``"sequence"`` for dense numbers after the highest so far, or ``"hash"``
     for a text key made of business key and start.
     """
     load_time = as_timestamp(batch_ts)
-    fresh = scd2_changes(dim, snapshot, key, compare, null_safe).withColumns(
+    fresh = stage(scd2_changes(dim, snapshot, key, compare, null_safe), "scd2").withColumns(
         {
             "effective_from": load_time,
             "effective_to": F.lit(open_until).cast("timestamp"),
@@ -138,7 +142,7 @@ def scd2_apply(
         keyed = assign_surrogate_keys(fresh, sk, [key], max_surrogate_key(dim, sk))
     elif sk_mode == "hash":
         start = F.unix_micros("effective_from").cast("string")
-        keyed = stage(fresh.withColumn(sk, hash_surrogate_key([F.col(key), start])), "scd2")
+        keyed = fresh.withColumn(sk, hash_surrogate_key([F.col(key), start]))
     else:
         raise ValueError(f"sk_mode is 'sequence' or 'hash', not {sk_mode!r}")
     loaded = append_rows(scd2_close(dim, keyed, key, load_time), keyed.select(*dim.columns))

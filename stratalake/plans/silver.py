@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,6 +19,7 @@ from stratalake.operators.clean import (
 from stratalake.operators.dedupe import dedupe_latest
 from stratalake.operators.history import history_apply
 from stratalake.operators.merge import merge_upsert
+from stratalake.plans.together import run_together
 from stratalake.sources.staging import stage
 from stratalake.sources.tables import Lakehouse
 
@@ -49,7 +51,7 @@ def run_silver(
     since: datetime | str | None = None,
     derive_current: bool = False,
 ) -> None:
-    """Load all silver tables.
+    """Load all silver tables, side by side.
 
     ``sales`` is ``"upsert"`` (a sale replaces its earlier arrival, so a second
     run changes nothing) or ``"append"`` (every run adds all its rows). With
@@ -63,19 +65,23 @@ def run_silver(
         rows = lake.read_layer("raw", entity)
         return rows if since is None else rows.filter(F.col("imported_date") > F.lit(since).cast("timestamp"))
 
-    for table, (entity, _, _) in ENTITIES.items():
-        target = lake.read_layer("silver", table)
-        lake.overwrite_table("silver", table, load_silver_entity(target, bronze(entity), table))
-
-    versions = stage(clean_employee_history(bronze("employee")), "employee")
-    history = lake.read_layer("silver", "employee_clean_history")
-    lake.overwrite_table(
-        "silver", "employee_clean_history", history_apply(history, versions, derive_current)
-    )
-
-    lines = clean_sales(bronze("sales_raw"))
-    if sales == "append":
-        lake.append_rows("silver", "sales_clean", lines)
-    else:
-        target = lake.read_layer("silver", "sales_clean")
-        lake.overwrite_table("silver", "sales_clean", sales_upsert_latest(target, lines))
+    def load_entity(table: str, entity: str) -> None:
+        merged = load_silver_entity(lake.read_layer("silver", table), bronze(entity), table)
+        lake.overwrite_table("silver", table, merged)
+
+    def load_history() -> None:
+        versions = stage(clean_employee_history(bronze("employee")), "employee")
+        history = lake.read_layer("silver", "employee_clean_history")
+        loaded = history_apply(history, versions, derive_current)
+        lake.overwrite_table("silver", "employee_clean_history", loaded)
+
+    def load_sales() -> None:
+        lines = clean_sales(bronze("sales_raw"))
+        if sales == "append":
+            lake.append_rows("silver", "sales_clean", lines)
+        else:
+            target = lake.read_layer("silver", "sales_clean")
+            lake.overwrite_table("silver", "sales_clean", sales_upsert_latest(target, lines))
+
+    entities = [partial(load_entity, t, entity) for t, (entity, _, _) in ENTITIES.items()]
+    run_together([*entities, load_history, load_sales])
