@@ -159,7 +159,7 @@ def run_gold(
 
     type_1 = [partial(load_type_1, table, source) for table, (source, _, _, _) in TYPE_1.items()]
     # Silver tables hold one row per key, so the loads need not check it.
-    run_together([load_customer, load_employee, *type_1, load_date])
+    run_together(lake.spark, [load_customer, load_employee, *type_1, load_date])
 
     sales = silver("sales_clean")
     if fact == "new":

@@ -84,4 +84,4 @@ def run_silver(
             lake.overwrite_table("silver", "sales_clean", sales_upsert_latest(target, lines))
 
     entities = [partial(load_entity, t, entity) for t, (entity, _, _) in ENTITIES.items()]
-    run_together([*entities, load_history, load_sales])
+    run_together(lake.spark, [*entities, load_history, load_sales])
