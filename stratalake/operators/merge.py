@@ -35,7 +35,7 @@ def check_unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     usable = _all_of([F.col(k).isNotNull() for k in keys])
     text = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
     message = F.concat(
-        F.lit(f"merge source has "), count.cast("string"),
+        F.lit("merge source has "), count.cast("string"),
         F.lit(f" rows for key ({', '.join(keys)}) = ("), text, F.lit(")"),
     )
     repeated = (
@@ -82,13 +82,14 @@ def merge_update(
 def new_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target does not have (NULL keys always count as new).
 
-    A source small enough to broadcast first picks its own keys out of the
-    target in a map-only pass, so that the anti join moves no more rows than
-    the source has; otherwise it is one anti join on the target's key columns.
+    If the optimizer would broadcast the source but not the target, the source
+    first picks its own keys out of the target in a map-only pass, so that the
+    anti join moves no more rows than the source has. Otherwise it is one anti
+    join on the target's key columns.
     """
     known = target.select(*keys)
     if fits_broadcast(source) and not fits_broadcast(known):
-        known = known.join(F.broadcast(source.select(*keys)), [*keys], "left_semi")
+        known = known.join(source.select(*keys), [*keys], "left_semi")
     return source.join(known, [*keys], "left_anti").select(*source.columns)
 
 
@@ -97,9 +98,20 @@ def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows, allowMissingColumns=True)
 
 
+def _in_types_of(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` with the columns that ``target`` has in its types."""
+    types = {f.name: f.dataType for f in target.schema}
+    casts = {
+        f.name: F.col(f.name).cast(types[f.name])
+        for f in rows.schema
+        if f.name in types and f.dataType != types[f.name]
+    }
+    return rows.withColumns(casts) if casts else rows
+
+
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-only merge: the target plus source rows with a new key."""
-    return append_rows(target, new_keys(target, source, keys))
+    return append_rows(target, _in_types_of(target, new_keys(target, source, keys)))
 
 
 def merge_upsert(
@@ -114,5 +126,8 @@ def merge_upsert(
     source-only columns widen the result. A key that occurs twice in the source
     raises; pass ``check=False`` for a source that is unique by construction.
     """
-    merged = append_rows(merge_update(target, source, keys), new_keys(target, source, keys))
-    return append_rows(merged, check_unique_source(source, keys)) if check else merged
+    added = _in_types_of(target, new_keys(target, source, keys))
+    merged = append_rows(merge_update(target, source, keys), added)
+    if not check:
+        return merged
+    return append_rows(merged, _in_types_of(target, check_unique_source(source, keys)))
