@@ -29,6 +29,7 @@ from stratalake.plans import (
     run_silver,
     sales_upsert_latest,
 )
+from stratalake.plans.together import run_together
 from stratalake.schemas import GOLD, SILVER, struct
 from stratalake.sources import Lakehouse, read_csv_batch, scratch_path, stage
 from stratalake.streaming import csv_stream, ingest_stream, read_evolved, stream_upsert, with_audit
@@ -131,14 +132,18 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, employee, product, store = run_together(
+        spark,
+        [
+            lambda: dim_customer(spark, sf_dir),
+            lambda: dim_employee(spark, sf_dir),
+            lambda: dim_type_1(spark, sf_dir, "dim_product", "product_clean"),
+            lambda: dim_type_1(spark, sf_dir, "dim_store", "store_clean"),
+        ],
+    )
+    calendar = order_calendar(spark, sf_dir)
     return ops.fact_sales(
-        sales(spark, sf_dir),
-        order_calendar(spark, sf_dir),
-        dim_customer(spark, sf_dir),
-        dim_employee(spark, sf_dir),
-        dim_type_1(spark, sf_dir, "dim_product", "product_clean"),
-        dim_type_1(spark, sf_dir, "dim_store", "store_clean"),
-        SECOND_LOAD,
+        sales(spark, sf_dir), calendar, customer, employee, product, store, SECOND_LOAD
     )
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 NEWEST_FIRST = ("imported_date", "source_file")
+_PLACE = "__place"
 
 
 def dedupe_latest(
@@ -18,20 +19,16 @@ def dedupe_latest(
     """The row with the greatest ``newest_first`` values per key.
 
     Rows with a NULL key are left out, or with ``drop_null_keys=False`` grouped
-    like any other value. An empty string is a key. Ties are broken by the remaining columns, so the result does not depend on
-    file or task order. NULL sorts below every value.
+    like any other value. An empty string is a key. Ties are broken by the
+    remaining columns, so the result does not depend on file or task order.
+    NULL sorts below every value.
 
-    The newest row is the maximum of a struct. Spark aggregates it inside each
-    map task before the exchange, so a key that owns a third of the input
-    sends one row per map task over the network; a window would sort the key's
-    rows by all columns first.
+    The filter stands directly on the window, which lets Spark keep only the
+    first row per key in each map task, before the exchange: a key that owns a
+    third of the input sends one row per map task over the network.
     """
     if drop_null_keys:
         rows = rows.dropna(subset=list(keys))
     rest = [c for c in rows.columns if c not in keys and c not in newest_first]
-    newest = F.max(F.struct(*newest_first, *rest))
-    return (
-        rows.groupBy(*keys)
-        .agg(newest.alias("newest"))
-        .select(*(c if c in keys else F.col("newest").getField(c).alias(c) for c in rows.columns))
-    )
+    newest = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in [*newest_first, *rest]))
+    return rows.withColumn(_PLACE, F.row_number().over(newest)).filter(F.col(_PLACE) == 1).drop(_PLACE)

@@ -54,13 +54,18 @@ def scd1_apply(
     batch_ts: datetime | str | Column,
     check: bool = True,
 ) -> DataFrame:
-    """Type 1 load: update known keys, number and add new ones."""
+    """Type 1 load: update known keys, number and add new ones.
+
+    New keys are written out first, so they are looked up once, and a load
+    without any goes no further than the update.
+    """
     source = source.select(key, *attributes)
+    loaded = scd1_update(dim, source, key, attributes, batch_ts)
     fresh = stage(new_keys(dim, source, [key]), "scd1")
-    numbered = assign_surrogate_keys(
-        fresh.withColumn("updated_at", as_timestamp(batch_ts)), sk, [key], max_surrogate_key(dim, sk)
-    )
-    loaded = append_rows(scd1_update(dim, source, key, attributes, batch_ts), numbered)
+    if not fresh.isEmpty():
+        stamped = fresh.withColumn("updated_at", as_timestamp(batch_ts))
+        numbered = assign_surrogate_keys(stamped, sk, [key], max_surrogate_key(dim, sk))
+        loaded = append_rows(loaded, numbered)
     return append_rows(loaded, _guard(loaded, source, key)) if check else loaded
 
 
@@ -125,13 +130,19 @@ def scd2_apply(
 
     Both ends use the same time, so versions are half-open intervals without a
     gap. The changes are written out before they are numbered, closed and added,
-    so the snapshot is compared with the dimension once. A key that vanishes
-    from the snapshot stays current. ``sk_mode`` is
+    so the snapshot is compared with the dimension once, and ``dim`` itself is
+    the result if there are none. A key that vanishes from the snapshot stays
+    current. ``sk_mode`` is
     ``"sequence"`` for dense numbers after the highest so far, or ``"hash"``
     for a text key made of business key and start.
     """
+    if sk_mode not in ("sequence", "hash"):
+        raise ValueError(f"sk_mode is 'sequence' or 'hash', not {sk_mode!r}")
     load_time = as_timestamp(batch_ts)
-    fresh = stage(scd2_changes(dim, snapshot, key, compare, null_safe), "scd2").withColumns(
+    changes = stage(scd2_changes(dim, snapshot, key, compare, null_safe), "scd2")
+    if changes.isEmpty():
+        return append_rows(dim, _guard(dim, snapshot, key)) if check else dim
+    fresh = changes.withColumns(
         {
             "effective_from": load_time,
             "effective_to": F.lit(open_until).cast("timestamp"),
@@ -140,11 +151,9 @@ def scd2_apply(
     )
     if sk_mode == "sequence":
         keyed = assign_surrogate_keys(fresh, sk, [key], max_surrogate_key(dim, sk))
-    elif sk_mode == "hash":
+    else:
         start = F.unix_micros("effective_from").cast("string")
         keyed = fresh.withColumn(sk, hash_surrogate_key([F.col(key), start]))
-    else:
-        raise ValueError(f"sk_mode is 'sequence' or 'hash', not {sk_mode!r}")
     loaded = append_rows(scd2_close(dim, keyed, key, load_time), keyed.select(*dim.columns))
     return append_rows(loaded, _guard(loaded, snapshot, key)) if check else loaded
 

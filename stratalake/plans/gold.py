@@ -128,6 +128,7 @@ def run_gold(
 ) -> None:
     """Load all gold tables as of ``batch_ts``: the dimensions side by side, then the fact.
 
+    A type 2 dimension without changes is not rewritten.
     ``fact`` is ``"new"`` (only sales the fact does not have) or ``"append"``
     (every run adds all silver sales). With ``since`` only silver sales
     imported after that time are looked at.
@@ -143,14 +144,16 @@ def run_gold(
         return lake.read_layer("silver", table)
 
     def load_customer() -> None:
-        dim = load_dim_customer(gold("dim_customer"), silver("customer_clean"), batch_ts, check=False)
-        lake.overwrite_table("gold", "dim_customer", dim)
+        dim = gold("dim_customer")
+        loaded = load_dim_customer(dim, silver("customer_clean"), batch_ts, check=False)
+        if loaded is not dim:
+            lake.overwrite_table("gold", "dim_customer", loaded)
 
     def load_employee() -> None:
-        history = silver("employee_clean_history")
-        lake.overwrite_table(
-            "gold", "dim_employee", load_dim_employee(gold("dim_employee"), history, batch_ts)
-        )
+        dim = gold("dim_employee")
+        loaded = load_dim_employee(dim, silver("employee_clean_history"), batch_ts)
+        if loaded is not dim:
+            lake.overwrite_table("gold", "dim_employee", loaded)
 
     def load_type_1(table: str, source: str) -> None:
         dim = load_dim_type_1(gold(table), silver(source), table, batch_ts, check=False)

@@ -137,7 +137,7 @@ def test_hot_key_matches_a_window_and_shrinks_before_the_exchange(spark, hot):
     got = dedupe_latest(df, ["id"])
     assert rows(got) == rows(expected)
     below_exchange = plan(got).split("Exchange")[1]
-    assert "partial_max" in below_exchange
+    assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
 
 
 def test_order_of_input_does_not_matter(spark):
