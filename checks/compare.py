@@ -19,13 +19,14 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 
-def session(name: str = "checks", cores: str = "8") -> SparkSession:
+def session(name: str = "checks", cores: str = "8", jvm_options: str = "") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.driver.extraJavaOptions", jvm_options)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

@@ -107,7 +107,7 @@ def scd2_close(
     ones leave as separate files, whose row-group statistics keep a later
     read of current rows off the closed ones.
     """
-    past = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    past = dim.filter(~F.col("is_current") | F.col("is_current").isNull())
     ended = changed.select(key).withColumns(
         {"is_current": F.lit(False), "effective_to": as_timestamp(batch_ts)}
     )
@@ -132,9 +132,8 @@ def scd2_apply(
     gap. The changes are written out before they are numbered, closed and added,
     so the snapshot is compared with the dimension once, and ``dim`` itself is
     the result if there are none. A key that vanishes from the snapshot stays
-    current. ``sk_mode`` is
-    ``"sequence"`` for dense numbers after the highest so far, or ``"hash"``
-    for a text key made of business key and start.
+    current. ``sk_mode`` is ``"sequence"`` for dense numbers after the highest
+    so far, or ``"hash"`` for a text key made of business key and start.
     """
     if sk_mode not in ("sequence", "hash"):
         raise ValueError(f"sk_mode is 'sequence' or 'hash', not {sk_mode!r}")

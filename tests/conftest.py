@@ -14,12 +14,13 @@ from stratalake.sources import Lakehouse  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = session("tests", "4")
+    # Many short jobs: compiling each method twice costs more than it saves.
+    spark = session("tests", "4", "-XX:TieredStopAtLevel=1")
     yield spark
     spark.stop()
 
 
-@pytest.fixture
+@pytest.fixture(scope="session")
 def frame(spark):
     """frame("id string, n int", (..), (..)) -> DataFrame"""
 
