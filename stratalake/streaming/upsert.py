@@ -25,12 +25,14 @@ def start_stream_upsert(
     """Merge each micro-batch's newest rows per key; the table sees only new arrivals.
 
     A batch may be offered again after a failure. Its snapshot is named after
-    the batch: if the table already points there the batch is done, otherwise
-    it starts over from the previous snapshot, which is still in place.
+    the stream (by the id its checkpoint keeps) and the batch: if the table
+    already points there the batch is done, otherwise it starts over from the
+    previous snapshot, which is still in place.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        snapshot = f"batch-{batch_id:012d}"
+        stream_id = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        snapshot = f"stream-{stream_id}-batch-{batch_id}"
         if lake.location(layer, table).rstrip("/").endswith(f"/{snapshot}"):
             return
         newest = stage(dedupe_latest(clean(batch), keys), "stream-upsert")
