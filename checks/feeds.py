@@ -11,10 +11,8 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# Customers are delivered once for each of these periods of their orders.
-CUSTOMERS_UNTIL = "1997-01-01"
-CUSTOMERS_SINCE = "2000-01-01"
 # Deliveries before this day come first, the others second.
+CUSTOMERS_SPLIT = "1998-04-01"
 PRODUCTS_SPLIT = "1995-04-01"
 SALES_SPLIT = "1998-01-01"
 EMPLOYEES_SPLIT = "2024-01-16"

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from checks.feeds import (
     BALANCE_SPLIT,
-    CUSTOMERS_SINCE,
-    CUSTOMERS_UNTIL,
+    CUSTOMERS_SPLIT,
     EMPLOYEES_SPLIT,
     GOLD_SPEND,
     PRODUCTS_SPLIT,
@@ -195,8 +194,8 @@ SALES_TIES = (
 )
 
 CUSTOMERS = {
-    1: clean_customer(customer_feed(until=CUSTOMERS_UNTIL)),
-    2: clean_customer(customer_feed(since=CUSTOMERS_SINCE)),
+    1: clean_customer(customer_feed(until=CUSTOMERS_SPLIT)),
+    2: clean_customer(customer_feed(since=CUSTOMERS_SPLIT)),
 }
 EMPLOYEES = {
     1: clean_employee(employee_feed(until=EMPLOYEES_SPLIT)),

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import feeds
 from checks.feeds import (
     BALANCE_SPLIT,
-    CUSTOMERS_SINCE,
-    CUSTOMERS_UNTIL,
+    CUSTOMERS_SPLIT,
     EMPLOYEES_SPLIT,
     PRODUCTS_SPLIT,
     SALES_SPLIT,
@@ -64,7 +63,7 @@ def as_text(rows: DataFrame, *columns: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
     """Clean customers of the first or second delivery."""
-    period = {"until": CUSTOMERS_UNTIL} if load == 1 else {"since": CUSTOMERS_SINCE}
+    period = {"until": CUSTOMERS_SPLIT} if load == 1 else {"since": CUSTOMERS_SPLIT}
     return ops.clean_customer(feeds.customer_feed(spark, sf_dir, **period))
 
 
@@ -88,7 +87,7 @@ def silver(spark: SparkSession, sf_dir: str, table: str, load: int = 2) -> DataF
     """A silver dimension table after one or both deliveries."""
     deliveries = {
         "customer_clean": lambda n: feeds.customer_feed(
-            spark, sf_dir, **({"until": CUSTOMERS_UNTIL} if n == 1 else {"since": CUSTOMERS_SINCE})
+            spark, sf_dir, **({"until": CUSTOMERS_SPLIT} if n == 1 else {"since": CUSTOMERS_SPLIT})
         ),
         "product_clean": lambda n: feeds.product_feed(
             spark, sf_dir, **({"until": PRODUCTS_SPLIT} if n == 1 else {"since": PRODUCTS_SPLIT})
