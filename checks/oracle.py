@@ -406,11 +406,6 @@ def star(load: str) -> str:
     LEFT JOIN dim_employee e ON e.employee_id = s.employee_id AND e.is_current"""
 
 
-FACT = f"""{HISTORY}, {DIM_EMPLOYEE_CTES}, {DIM_CUSTOMER_CTES}, {TYPE_1['product']},
-    {TYPE_1['store']}, dim_date AS MATERIALIZED ({ORDER_CALENDAR}),
-    sales AS MATERIALIZED ({clean_sales(sales_feed())})"""
-
-
 # Loaded once from whole feeds: every key numbered in key order.
 def numbered_ids(entity: str, feed: str) -> str:
     key = f"{entity}_id"
@@ -419,6 +414,13 @@ def numbered_ids(entity: str, feed: str) -> str:
     FROM (SELECT DISTINCT trim({key}) AS {key} FROM ({feed}))"""
 
 
+FACT = f"""{HISTORY}, {DIM_EMPLOYEE_CTES}, {DIM_CUSTOMER_CTES},
+    dim_product AS MATERIALIZED ({numbered_ids('product', product_feed())}),
+    dim_store AS MATERIALIZED ({numbered_ids('store', store_feed())}),
+    dim_date AS MATERIALIZED ({ORDER_CALENDAR}),
+    sales AS MATERIALIZED ({clean_sales(sales_feed())})"""
+
+
 END_TO_END = f"""
     WITH sales AS MATERIALIZED ({clean_sales(sales_feed())}),
     dim_date AS MATERIALIZED ({calendar("TIMESTAMP '1995-01-01'", "TIMESTAMP '2001-12-31'")}),

@@ -122,6 +122,13 @@ def dim_type_1(spark: SparkSession, sf_dir: str, table: str, source: str) -> Dat
     return load_dim_type_1(rows, silver(spark, sf_dir, source, 2), table, SECOND_LOAD)
 
 
+def dim_whole_feed(spark: SparkSession, sf_dir: str, table: str, source: str) -> DataFrame:
+    """A type 1 dimension loaded once, from the whole feed."""
+    feed = {"product_clean": feeds.product_feed, "store_clean": feeds.store_feed}[source]
+    clean = load_silver_entity(empty(spark, SILVER[source]), feed(spark, sf_dir), source)
+    return load_dim_type_1(empty(spark, GOLD[table]), clean, table, SECOND_LOAD)
+
+
 def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     bounds = feeds.table(spark, sf_dir, "orders").agg(
@@ -136,8 +143,8 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             lambda: dim_customer(spark, sf_dir),
             lambda: dim_employee(spark, sf_dir),
-            lambda: dim_type_1(spark, sf_dir, "dim_product", "product_clean"),
-            lambda: dim_type_1(spark, sf_dir, "dim_store", "store_clean"),
+            lambda: dim_whole_feed(spark, sf_dir, "dim_product", "product_clean"),
+            lambda: dim_whole_feed(spark, sf_dir, "dim_store", "store_clean"),
         ],
     )
     calendar = order_calendar(spark, sf_dir)
