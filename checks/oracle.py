@@ -119,60 +119,62 @@ def sales_feed(since: str | None = None, until: str | None = None) -> str:
 # --- cleaning -----------------------------------------------------------------
 
 
+def cleaned(feed: str, trimmed: str = "", titled: str = "", **others: str) -> str:
+    """``feed`` with text columns normalised and ``others`` replaced, in the feed's layout."""
+    new = {c: f"trim({c})" for c in trimmed.split()}
+    new |= {c: title(f"trim({c})") for c in titled.split()}
+    new |= others
+    return f"SELECT * REPLACE ({', '.join(f'{sql} AS {c}' for c, sql in new.items())}) FROM ({feed})"
+
+
 def clean_customer(feed: str) -> str:
-    return f"""
-    SELECT trim(customer_id) AS customer_id, {title('trim(customer_name)')} AS customer_name,
-           upper(trim(gender)) AS gender, CAST(age AS INTEGER) AS age, lower(trim(email)) AS email,
-           regexp_replace(phone_number, '[^0-9+]', '', 'g') AS phone_number,
-           {title('trim(city)')} AS city, {title('trim(loyalty_tier)')} AS loyalty_tier,
-           source_file, imported_date
-    FROM ({feed})"""
+    return cleaned(
+        feed,
+        trimmed="customer_id",
+        titled="customer_name city loyalty_tier",
+        gender="upper(trim(gender))",
+        email="lower(trim(email))",
+        phone_number="regexp_replace(phone_number, '[^0-9+]', '', 'g')",
+    )
 
 
 def clean_product(feed: str) -> str:
-    return f"""
-    SELECT trim(product_id) AS product_id, {title('trim(product_name)')} AS product_name,
-           trim(supplier_id) AS supplier_id, {title('trim(supplier_name)')} AS supplier_name,
-           trim(return_policy) AS return_policy, trim(warranty) AS warranty,
-           source_file, imported_date
-    FROM ({feed})"""
+    return cleaned(
+        feed, "product_id supplier_id return_policy warranty", "product_name supplier_name"
+    )
 
 
 def clean_store(feed: str) -> str:
-    return f"""
-    SELECT trim(store_id) AS store_id, {title('trim(store_name)')} AS store_name,
-           {title('trim(city)')} AS city, source_file, imported_date
-    FROM ({feed})"""
+    return cleaned(feed, "store_id", "store_name city")
 
 
 def clean_supplier(feed: str) -> str:
-    return f"""
-    SELECT trim(supplier_id) AS supplier_id, {title('trim(supplier_name)')} AS supplier_name,
-           source_file, imported_date
-    FROM ({feed})"""
+    return cleaned(feed, "supplier_id", "supplier_name")
 
 
 def clean_employee(feed: str) -> str:
-    return f"""
-    SELECT trim(employee_id) AS employee_id, trim(employee_code) AS employee_code,
-           trim(store_id) AS store_id, {title('trim(store_name)')} AS store_name,
-           effective_from, coalesce(effective_to, DATE '9999-12-31') AS effective_to,
-           is_current, is_primary,
-           sha256(employee_code || '|' || store_id || '|' || store_name || '|' || is_primary)
-             AS change_hash,
+    hashed = f"""
+    SELECT * EXCLUDE (source_file, imported_date),
+           sha256(concat_ws('|', employee_code, store_id, store_name, is_primary)) AS change_hash,
            source_file, imported_date
     FROM ({feed})"""
+    return cleaned(
+        hashed,
+        "employee_id employee_code store_id",
+        "store_name",
+        effective_to="coalesce(effective_to, DATE '9999-12-31')",
+    )
 
 
 def clean_sales(feed: str) -> str:
-    return f"""
-    SELECT trim(sale_id) AS sale_id, sale_ts, trim(customer_id) AS customer_id,
-           trim(product_id) AS product_id, trim(store_id) AS store_id,
-           trim(employee_id) AS employee_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-           trim(coupon_code) AS coupon_code, CAST(discount_percent AS DOUBLE) AS discount_percent,
-           lower(trim(mode)) AS mode, source_file, imported_date
-    FROM ({feed})
-    WHERE quantity > 0 AND unit_price >= 0"""
+    lines = cleaned(
+        feed,
+        "sale_id customer_id product_id store_id employee_id coupon_code",
+        unit_price="CAST(unit_price AS DOUBLE)",
+        discount_percent="CAST(discount_percent AS DOUBLE)",
+        mode="lower(trim(mode))",
+    )
+    return f"SELECT * FROM ({lines}) WHERE quantity > 0 AND unit_price >= 0"
 
 
 def latest(rows: str, key: str, ties: str, order: str = "imported_date DESC, source_file DESC") -> str:
@@ -285,8 +287,8 @@ DIM_CUSTOMER_CTES = f"""
              TIMESTAMP '{OPEN_CUSTOMER}' AS effective_to, true AS is_current
       FROM customers_1),
     customer_changes AS MATERIALIZED (
-      SELECT s.* FROM customers_2 s LEFT JOIN dim_customer_1 d USING (customer_id)
-      WHERE d.customer_id IS NULL OR d.hashdiff <> s.hashdiff),
+      SELECT * FROM customers_2
+      WHERE (customer_id, hashdiff) NOT IN (SELECT (customer_id, hashdiff) FROM dim_customer_1)),
     dim_customer_closed AS MATERIALIZED (
       SELECT * REPLACE (
         CASE WHEN customer_id IN (SELECT customer_id FROM customer_changes)
@@ -324,9 +326,8 @@ DIM_EMPLOYEE_CTES = f"""
     employees_2 AS MATERIALIZED ({employee_snapshot('loaded_2')}),
     dim_employee_1 AS MATERIALIZED ({opened_employees('employees_1', FIRST_LOAD)}),
     employee_changes AS MATERIALIZED (
-      SELECT s.* FROM employees_2 s LEFT JOIN dim_employee_1 d USING (employee_id)
-      WHERE d.employee_id IS NULL OR d.employee_code <> s.employee_code
-         OR d.store_id <> s.store_id),
+      SELECT * FROM employees_2 WHERE (employee_id, employee_code, store_id) NOT IN
+        (SELECT (employee_id, employee_code, store_id) FROM dim_employee_1)),
     dim_employee AS MATERIALIZED (
       SELECT * REPLACE (
         CASE WHEN employee_id IN (SELECT employee_id FROM employee_changes)
@@ -393,17 +394,24 @@ def amounts(quantity: str, price: str, percent: str) -> str:
       CAST({gross} - {cut} AS DECIMAL(18,2)) AS net_amt"""
 
 
+# Sales beside the row of each dimension that applies to them, if any.
+STAR = """
+    FROM sales
+    LEFT JOIN (SELECT full_date AS sale_day, date_sk FROM dim_date)
+      ON sale_day = CAST(sale_ts AS DATE)
+    LEFT JOIN (SELECT customer_id, customer_sk FROM dim_customer WHERE is_current)
+      USING (customer_id)
+    LEFT JOIN (SELECT employee_id AS known_employee, employee_sk FROM dim_employee WHERE is_current)
+      ON known_employee = employee_id
+    LEFT JOIN (SELECT product_id, product_sk FROM dim_product) USING (product_id)
+    LEFT JOIN (SELECT store_id, store_sk FROM dim_store) USING (store_id)"""
+
+
 def star(load: str) -> str:
     return f"""
-    SELECT s.sale_id, d.date_sk, c.customer_sk, e.employee_sk, p.product_sk, st.store_sk,
-           s.quantity, {amounts('s.quantity', 's.unit_price', 's.discount_percent')},
-           TIMESTAMP '{load}' AS load_ts
-    FROM sales s
-    LEFT JOIN dim_date d ON d.full_date = CAST(s.sale_ts AS DATE)
-    LEFT JOIN dim_product p ON p.product_id = s.product_id
-    LEFT JOIN dim_store st ON st.store_id = s.store_id
-    LEFT JOIN dim_customer c ON c.customer_id = s.customer_id AND c.is_current
-    LEFT JOIN dim_employee e ON e.employee_id = s.employee_id AND e.is_current"""
+    SELECT sale_id, date_sk, customer_sk, employee_sk, product_sk, store_sk, quantity,
+           {amounts('quantity', 'unit_price', 'discount_percent')}, TIMESTAMP '{load}' AS load_ts
+    {STAR}"""
 
 
 # Loaded once from whole feeds: every key numbered in key order.
@@ -536,13 +544,7 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT * EXCLUDE (employee_sk) FROM ({star(SECOND_LOAD)})
         WHERE employee_sk IS NOT NULL""",
     "employee_coverage": f"""{FACT}
-        SELECT DISTINCT e.employee_id AS dim_employee_id, s.employee_id AS sales_employee_id
-        FROM sales s
-        LEFT JOIN dim_date d ON d.full_date = CAST(s.sale_ts AS DATE)
-        LEFT JOIN dim_product p ON p.product_id = s.product_id
-        LEFT JOIN dim_store st ON st.store_id = s.store_id
-        LEFT JOIN dim_customer c ON c.customer_id = s.customer_id AND c.is_current
-        LEFT JOIN dim_employee e ON e.employee_id = s.employee_id AND e.is_current""",
+        SELECT DISTINCT known_employee AS dim_employee_id, employee_id AS sales_employee_id {STAR}""",
     "layer_counts": f"{FACT} "
     + counts(
         {
