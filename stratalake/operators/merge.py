@@ -125,6 +125,8 @@ def merge_upsert(
     Target rows without a match stay, target-only columns keep their value and
     source-only columns widen the result. A key that occurs twice in the source
     raises; pass ``check=False`` for a source that is unique by construction.
+    The source is read for the update, the insert and the check: stage one that
+    is expensive to compute.
     """
     added = _in_types_of(target, new_keys(target, source, keys))
     merged = append_rows(merge_update(target, source, keys), added)

@@ -54,10 +54,10 @@ def run_silver(
     """Load all silver tables, side by side.
 
     ``sales`` is ``"upsert"`` (a sale replaces its earlier arrival, so a second
-    run changes nothing) or ``"append"`` (every run adds all its rows). An
-    upsert that brings only new sales is written as an append: finding that out
-    reads one column of the table instead of rewriting all of it. With
-    ``since`` only bronze rows imported after that time are read.
+    run changes nothing) or ``"append"`` (every run adds all its rows). With
+    ``since`` only bronze rows imported after that time are read. An upsert of
+    nothing but new keys is written as an append: finding that out reads one
+    column of the table instead of rewriting all of it.
     """
     if sales not in ("upsert", "append"):
         raise ValueError(f"sales is 'upsert' or 'append', not {sales!r}")
@@ -68,11 +68,13 @@ def run_silver(
         return rows if since is None else rows.filter(F.col("imported_date") > F.lit(since).cast("timestamp"))
 
     def load_entity(table: str, entity: str) -> None:
-        merged = load_silver_entity(lake.read_layer("silver", table), bronze(entity), table)
-        lake.overwrite_table("silver", table, merged)
+        _, clean, key = ENTITIES[table]
+        _upsert(lake, table, dedupe_latest(clean(bronze(entity)), [key]), key)
 
     def load_history() -> None:
         versions = stage(clean_employee_history(bronze("employee")), "employee")
+        if versions.isEmpty():
+            return
         history = lake.read_layer("silver", "employee_clean_history")
         loaded = history_apply(history, versions, derive_current)
         lake.overwrite_table("silver", "employee_clean_history", loaded)
@@ -81,14 +83,20 @@ def run_silver(
         lines = clean_sales(bronze("sales_raw"))
         if sales == "append":
             lake.append_rows("silver", "sales_clean", lines)
-            return
-        target = lake.read_layer("silver", "sales_clean")
-        newest = stage(dedupe_latest(lines, ["sale_id"]), "sales")
-        if target.select("sale_id").join(newest.select("sale_id"), "sale_id", "left_semi").isEmpty():
-            lake.append_rows("silver", "sales_clean", newest)
         else:
-            merged = merge_upsert(target, newest, ["sale_id"], check=False)
-            lake.overwrite_table("silver", "sales_clean", merged)
+            _upsert(lake, "sales_clean", dedupe_latest(lines, ["sale_id"]), "sale_id")
 
     entities = [partial(load_entity, t, entity) for t, (entity, _, _) in ENTITIES.items()]
     run_together(lake.spark, [*entities, load_history, load_sales])
+
+
+def _upsert(lake: Lakehouse, table: str, arrivals: DataFrame, key: str) -> None:
+    """Upsert rows that are unique on ``key``, rewriting the table only if it has one of the keys."""
+    newest = stage(arrivals, table)
+    if newest.isEmpty():
+        return
+    target = lake.read_layer("silver", table)
+    if target.select(key).join(newest.select(key), key, "left_semi").isEmpty():
+        lake.append_rows("silver", table, newest)
+    else:
+        lake.overwrite_table("silver", table, merge_upsert(target, newest, [key], check=False))

@@ -57,8 +57,10 @@ def test_clear_goes_on_after_an_error(lake, frame):
     assert cleared.count() == 0 and cleared.columns == ["a"]
 
 
-def test_clear_covers_all_thirteen_tables(lake):
+def test_nineteen_tables_are_there_and_clear_covers_silver_and_gold(lake, spark):
     lake.ensure_layers()
+    made = [t.name for layer in ("raw", "silver", "gold") for t in spark.catalog.listTables(f"{lake.prefix}_{layer}") if not t.isTemporary]
+    assert len(made) == 19 and lake.read_layer("raw", "sales_raw").count() == 0
     outcome = lake.clear_tables()
     assert len(outcome) == 13 and set(outcome.values()) == {None}
 
@@ -102,6 +104,14 @@ def test_each_file_is_ingested_once_with_its_name(spark, tmp_path):
     ]
 
 
+def test_backlog_in_batches(lake, tmp_path):
+    for n in range(3):
+        folder = deliver(tmp_path / "in", f"{n}.csv", "store_id,store_name,city", f"{n},a,b")
+    run_bronze(lake, {"store": folder}, max_files_per_batch=1)
+    got = lake.read_layer("raw", "store")
+    assert got.count() == 3 and got.select("imported_date").distinct().count() == 3
+
+
 def test_bad_cells_read_as_null_and_stored_types_win(lake, tmp_path):
     header = "sale_id,sale_ts,customer_id,product_id,store_id,employee_id,quantity,unit_price,coupon_code,discount_percent,mode"
     folder = deliver(
@@ -255,6 +265,9 @@ def test_new_sales_are_appended_and_repeated_ones_replace(lake, landing, tmp_pat
         run_gold(lake, ts, first_day="2024-01-01", last_day="2024-12-31", since=since)
         assert (lake.location("silver", "sales_clean") == before) is kept
     assert rows(lake.read_layer("silver", "sales_clean"), "sale_id", "quantity") == [("1", 2), ("2", 1), ("4", 9)]
+    places = {t: lake.location("silver", t) for t in SILVER}
+    run_silver(lake, since="2024-03-01 00:00:00")  # nothing arrived since
+    assert {t: lake.location("silver", t) for t in SILVER} == places
     assert rows(lake.read_layer("gold", "fact_sales"), "sale_id") == [("1",), ("2",), ("4",)]
 
 
