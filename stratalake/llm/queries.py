@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.quality_rules import quality_rules
 from stratalake.llm.sharding import shard_documents
@@ -29,6 +30,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' components at 80 of 100 shared 5-word shingles."""
+    return jaccard_components(_table(spark, sf_dir, "documents"), 80)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, sources weighing 1, 2, 3 in turn, none repeated over 3 times."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"), (1, 2, 3), 3)
@@ -58,6 +64,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_mixing": op4_mixing,
     "op6_url_filter": op6_url_filter,
     "op9_quality_rules": op9_quality_rules,
