@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.llm.bpe import bpe_documents, vocabulary
+from stratalake.llm.fingerprints import fingerprint_documents
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.mixing import mix_sources
+from stratalake.llm.quality_classifier import classify_quality, fit_quality_model
 from stratalake.llm.quality_rules import quality_rules
 from stratalake.llm.sharding import shard_documents
 from stratalake.llm.url_filter import filter_urls, fit_url_model, sample_url_labels
@@ -35,12 +38,28 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), 80)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts."""
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, sources weighing 1, 2, 3 in turn, none repeated over 3 times."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"), (1, 2, 3), 3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded; digests of both."""
+    coded = bpe_documents(_table(spark, sf_dir, "documents"), vocabulary(spark))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -62,12 +81,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the labels that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    model = fit_quality_model(documents, _table(spark, sf_dir, "labels"))
+    return classify_quality(documents, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
+    "op5_bpe": op5_bpe,
     "op6_url_filter": op6_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
