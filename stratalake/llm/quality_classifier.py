@@ -30,16 +30,21 @@ def _fold(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Two dictionaries, and the line that turns a size difference into odds."""
+    """Two dictionaries, and what turns a size difference and how well the text packs into odds."""
 
     good: bytes
     bad: bytes
     slope: float
+    packing: float
     offset: float
 
 
-def _gain(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
-    """(bad - good) / (bad + good) of the compressed sizes of each whole text; 0 for an empty one."""
+def _sizes(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
+    """Per whole text (bad - good) / (bad + good) of its compressed sizes, and the lesser size by its own.
+
+    The second tells repetition, which both dictionaries pack alike. Both are 0
+    for an empty text.
+    """
 
     def compressor(data: bytes) -> zstandard.ZstdCompressor:
         known = zstandard.ZstdCompressionDict(data)
@@ -50,22 +55,26 @@ def _gain(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
 
     mark = hashlib.sha1(good + bad).hexdigest()
     press = kept(f"quality_{mark}", lambda: (compressor(good), compressor(bad)))
-    gains = np.zeros(len(texts))
+    out = np.zeros((len(texts), 2))
     for k, text in enumerate(texts):
-        raw = text.encode()
-        small, large = (sum(len(c.compress(raw[i : i + BLOCK])) for i in range(0, len(raw), BLOCK)) for c in press)
-        gains[k] = (large - small) / (large + small) if raw else 0.0
-    return gains
+        if raw := text.encode():
+            small, large = (sum(len(c.compress(raw[i : i + BLOCK])) for i in range(0, len(raw), BLOCK)) for c in press)
+            out[k] = (large - small) / (large + small), math.log(min(small, large) / len(raw))
+    return out
 
 
-def size_gain(text: Column | str, good: bytes, bad: bytes) -> Column:
-    """The normalised compressed-size difference of each text; a null text counts as empty."""
+def compressed_sizes(text: Column | str, good: bytes, bad: bytes) -> Column:
+    """A struct of ``gain``, the normalised difference of a text's sizes, and ``packed``, the log of its lesser share.
 
-    @arrow_udf("double")
-    def gain(column: pa.Array) -> pa.Array:
-        return pa.array(_gain(column.fill_null("").to_pylist(), good, bad))
+    A null text counts as empty.
+    """
 
-    return gain(text)
+    @arrow_udf("struct<gain double, packed double>")
+    def sizes(column: pa.Array) -> pa.Array:
+        found = _sizes(column.fill_null("").to_pylist(), good, bad)
+        return pa.StructArray.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["gain", "packed"])
+
+    return sizes(text)
 
 
 def _dictionary(samples: list[str], size: int) -> bytes:
@@ -77,20 +86,21 @@ def _dictionary(samples: list[str], size: int) -> bytes:
         return b"".join(raw)[-size:] or b"\0"
 
 
-def _calibrate(gains: np.ndarray, labels: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of a logistic regression of ``labels`` on ``gains``, by Newton's method."""
+def _calibrate(sizes: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
+    """Slopes and offset of a weighted logistic regression of ``labels``, by Newton's method."""
     if not len(labels) or labels.min() == labels.max():
-        good, n = float(labels.sum()), len(labels)
-        return 0.0, math.log((good + 1) / (n - good + 1))
-    x = np.stack([gains * 10, np.ones(len(gains))], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
+        return 0.0, 0.0, math.log((weights @ labels + 1) / (weights @ (1 - labels) + 1))
+    scale = np.array([10.0, 1.0, 1.0])
+    x = np.concatenate([sizes, np.ones((len(sizes), 1))], axis=1) * scale
+    w = np.zeros(3)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(2), x.T @ (p - labels) + ridge * w)
-        w -= step
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(3)
+        step = np.linalg.solve(bend, x.T @ (weights * (p - labels)) + ridge * w)
+        w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] * 10), float(w[1])
+    return tuple(float(v) for v in w * scale)
 
 
 def fit_quality_model(
@@ -135,14 +145,25 @@ def fit_quality_model(
         some = blocks.filter(F.col("quality") == q).orderBy(F.xxhash64("block"), "block").limit(max_blocks)
         dictionaries.append(_dictionary([r["block"] for r in some.select("block").collect()], dictionary_bytes))
     good, bad = dictionaries
-    tuned = texts.filter("tune").select(size_gain("text", good, bad).alias("gain"), "quality").collect()
-    gains, marks = np.array([r["gain"] for r in tuned]), np.array([r["quality"] for r in tuned], float)
-    return QualityModel(good, bad, *_calibrate(gains, marks))
+    # Both labels are sampled alike, so each document stands for as many as its label has.
+    shares = dict(usable.filter("tune").groupBy("quality").count().collect())
+    found = texts.filter("tune").select(compressed_sizes("text", good, bad).alias("s"), "quality").select("s.*", "quality")
+    rows = np.array(sorted(tuple(r) for r in found.collect()), float).reshape(-1, 3)
+    marks = rows[:, 2]
+    weights = np.array([shares[int(m)] / (marks == m).sum() for m in marks])
+    return QualityModel(good, bad, *_calibrate(rows[:, :2], marks, weights))
 
 
 def quality_score(text: Column | str, model: QualityModel) -> Column:
     """From 0 to 1, the chance of label 1."""
-    return 1 / (1 + F.exp(-(size_gain(text, model.good, model.bad) * model.slope + model.offset)))
+    sizes = compressed_sizes(text, model.good, model.bad)
+    return F.element_at(
+        F.transform(
+            F.array(sizes),
+            lambda s: 1 / (1 + F.exp(-(s["gain"] * model.slope + s["packed"] * model.packing + model.offset))),
+        ),
+        1,
+    )
 
 
 def classify_quality(documents: DataFrame, model: QualityModel, cut: float = CUT) -> DataFrame:
@@ -154,5 +175,6 @@ def classify_quality(documents: DataFrame, model: QualityModel, cut: float = CUT
 
     Columns: doc_id, held_out, score, predicted.
     """
-    scored = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score("text", model).alias("score"))
+    out = held_out(F.col("doc_id")).alias("held_out")
+    scored = documents.select("doc_id", out, quality_score("text", model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.llm.bpe import bpe_documents, vocabulary
 from stratalake.llm.fingerprints import fingerprint_documents
 from stratalake.llm.jaccard_join import jaccard_components
+from stratalake.llm.line_dedup import dedup_lines
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.quality_classifier import classify_quality, fit_quality_model
 from stratalake.llm.quality_rules import quality_rules
 from stratalake.llm.sharding import shard_documents
 from stratalake.llm.url_filter import filter_urls, fit_url_model, sample_url_labels
+from stratalake.llm.warc import archive_pages
+from stratalake.sources import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +79,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives in the shared folder and read back."""
+    return archive_pages(spark, _table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the blocks of 50 words or more that an earlier one has."""
+    return dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.length("text").cast("bigint").alias("n_chars"), "removed_lines", "removed_spans", "earlier_docs"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents."""
     return quality_rules(_table(spark, sf_dir, "documents")).drop("distance")
@@ -95,8 +110,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
     "op6_url_filter": op6_url_filter,
+    "op7_warc": op7_warc,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE: dict[str, str] = {}
+# Words as in the operator: its queue is a sum over each source in shuffled order, its mix the places up to the budget.
+_OP4_SQL = r"""
+WITH base AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS shuffle,
+         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS size
+  FROM documents
+), sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no
+  FROM base GROUP BY source
+), limits AS (
+  SELECT *, 1 + source_no % 3 AS weight, 3 * source_size AS full_size FROM sizes
+), steps AS (
+  SELECT *, row_number() OVER filling AS step,
+         sum(source_size) OVER () - coalesce(sum(full_size) OVER (filling ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+         sum(weight) OVER (filling ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+  FROM limits WINDOW filling AS (ORDER BY full_size * 6 // weight, source_no)
+), level AS (
+  SELECT step AS at_step, remaining AS at_remaining, open_weight AS at_weight
+  FROM steps WHERE remaining * weight <= full_size * open_weight ORDER BY step LIMIT 1
+), targets AS (
+  SELECT source, source_no, source_size,
+         CASE WHEN step < at_step THEN full_size::DOUBLE
+              ELSE (weight * at_remaining)::DOUBLE / at_weight::DOUBLE END AS target
+  FROM steps, level
+), queue AS (
+  SELECT b.doc_id, b.size, b.shuffle, t.source_no, t.source_size, t.target,
+         sum(b.size) OVER (PARTITION BY t.source_no ORDER BY b.shuffle, b.doc_id, b.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS words
+  FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source
+), places AS (
+  SELECT *, CASE WHEN target > 0 THEN (turn * source_size + words)::DOUBLE / target ELSE 0 END AS finish
+  FROM queue, (VALUES (0), (1), (2)) AS turns(turn)
+  WHERE turn = 0 OR turn * source_size < target
+), line AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source_no, turn, shuffle, doc_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS taken_words
+  FROM places
+)
+SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+       sum(CASE WHEN taken_words <= (SELECT sum(size) FROM base) THEN size ELSE 0 END)::BIGINT AS taken
+FROM line GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {"op4_mixing": _OP4_SQL}

@@ -54,6 +54,29 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(hashes + (ends - starts).astype(U64) * U64(_SALTS[0])), np.searchsorted(starts, offsets)
 
 
+def line_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and word counts of all lines, split at line feeds, and the offsets of each text's lines."""
+    offsets = offsets - offsets[0]
+    n = int(offsets[-1])
+    feed = data == 10
+    white = (data == 32) | ((data >= 9) & (data <= 13))
+    begins = ~white
+    first = np.zeros(n, bool)
+    first[offsets[:-1][offsets[:-1] < n]] = True
+    begins[1:] &= white[:-1] | first[1:]
+    words = np.concatenate([[0], np.cumsum(begins)])
+    # A text of k line feeds has k + 1 lines, an empty one too.
+    breaks = np.flatnonzero(feed)
+    starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    ends = np.sort(np.concatenate([offsets[1:], breaks]), kind="stable")
+    power, inverse = _powers(n + 1)
+    sums = np.zeros(n + 1, U64)
+    np.cumsum((data.astype(U64) + U64(1)) * power[:n], out=sums[1:], dtype=U64)
+    hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64) * U64(_SALTS[1]))
+    bounds = np.concatenate([[0], np.cumsum(np.diff(np.searchsorted(breaks, offsets)) + 1)])
+    return hashes, words[ends] - words[starts], bounds
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5):
     """For each text the sorted distinct hashes of its shingles; fewer words make one shingle, none none."""
     words, bounds = word_hashes(data, offsets)
