@@ -15,12 +15,16 @@ from stratalake.sources import stage
 
 PERCENT = 80
 WIDTH = 5
-SLOTS = 4  # smallest hashes by which similar sets find a group
+SLOTS = 4  # smallest hashes; sets that share two of them can form a group
+MORE = 16  # one more token in common is asked for, per so many tokens of a set
 SKETCH_BITS, CHUNK_BITS = 20, 10
 BLOCK_TOKENS, BLOCK_SETS, VISITORS = 200_000, 512, 4096
 _SEEDS = [0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89]
 
 
+_LEFT, _RIGHT = np.triu_indices(SLOTS, 1)
+
+
 def _needed(n: int, percent: int) -> int:
     """The least overlap that a set of ``n`` has with any set linked to it."""
     return -(-n * percent // 100)
@@ -52,7 +56,8 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(tokens))
             keys.append(_set_key(tokens))
             if len(tokens):
-                lows.append([int(mix(tokens ^ U64(s)).min().astype(np.int64)) for s in _SEEDS[:SLOTS]])
+                least = np.array([mix(tokens ^ U64(s)).min() for s in _SEEDS[:SLOTS]], U64)
+                lows.append(mix(least[_LEFT] + U64(3) * least[_RIGHT]).view(np.int64).tolist())
                 # Distinct tokens of one set rarely share a counter; where they do, the count is one too low.
                 sketch[(tokens >> U64(64 - SKETCH_BITS)).astype(np.int64)] += np.uint32(1)
             else:
@@ -111,7 +116,11 @@ def _token_levels(summary: DataFrame) -> bytes:
 
 
 def _prefixes(levels: bytes, percent: int):
-    """The tokens of which a linked set must have one: the rarest, so many that the rest is too few."""
+    """The rarest tokens of each set, so many that a linked set has 1 + n // MORE of them among its own.
+
+    Two linked sets have all but n - needed tokens of either in common. So of the
+    n - needed + k rarest of each, in an order that holds for all sets, k are shared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(levels, np.uint8)
@@ -123,7 +132,7 @@ def _prefixes(levels: bytes, percent: int):
                     keys.append(_set_key(tokens))
                     if n := len(tokens):
                         rank = level[(tokens >> U64(64 - SKETCH_BITS)).astype(np.int64)]
-                        rarest = np.argsort(rank, kind="stable")[: n - _needed(n, percent) + 1]
+                        rarest = np.argsort(rank, kind="stable")[: n - _needed(n, percent) + 1 + n // MORE]
                         chosen.append(tokens[rarest])
                         ends.append(ends[-1] + len(rarest))
                     else:
@@ -142,7 +151,7 @@ def _prefixes(levels: bytes, percent: int):
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different blocks with a token in common and sizes that allow a link.
+    """Pairs of different blocks with sizes that allow a link, and how many tokens they have in common.
 
     Rows come sorted by token and block. The lowest byte of a block is the class
     of its sets' sizes; sets two classes apart are too unlike in size.
@@ -161,8 +170,10 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = block[same], block[same + step]
             fits = np.abs((left & 255) - (right & 255)) <= 1
             if fits.any():
-                made = np.unique(np.stack([left[fits], right[fits]]), axis=1)
-                yield pa.record_batch([pa.array(made[0]), pa.array(made[1])], ["a", "b"])
+                made = np.stack([left[fits], right[fits]], axis=1).view([("a", np.int64), ("b", np.int64)]).ravel()
+                made, shared = np.unique(made, return_counts=True)
+                columns = [pa.array(np.ascontiguousarray(made[c])) for c in ("a", "b")]
+                yield pa.record_batch([*columns, pa.array(shared)], ["a", "b", "shared"])
             step += 1
 
     for batch in batches:
@@ -176,13 +187,13 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pairs(rest_t, rest_b)
 
 
-SETS = "set_key long, block long, tokens binary"
+SETS = "set_key long, moves array<struct<target long, parts int, visits int>>, tokens binary"
 
 
 def _open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole sets of the candidates' texts. A row of the same id but other words is none of them."""
     for batch in batches:
-        keys, blocks = batch.column("set_key").to_pylist(), batch.column("block")
+        keys, moves = batch.column("set_key").to_pylist(), batch.column("moves")
         rows, sets = [], []
         for row, tokens in _texts(batch):
             if _set_key(tokens) == keys[row]:
@@ -190,8 +201,8 @@ def _open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sets.append(tokens.tobytes())
         picked = pa.array(rows, pa.int64())
         yield pa.record_batch(
-            [batch.column("set_key").take(picked), blocks.take(picked), pa.array(sets, pa.binary())],
-            ["set_key", "block", "tokens"],
+            [batch.column("set_key").take(picked), moves.take(picked), pa.array(sets, pa.binary())],
+            ["set_key", "moves", "tokens"],
         )
 
 
@@ -299,12 +310,12 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
 
     1. Every set gets a key, its size and its smallest hashes; counts of hashed
        tokens over all sets show which tokens are common.
-    2. Sets of like size that share a smallest hash (of four, the one that most
+    2. Sets of like size that share two smallest hashes (of four; the two that most
        sets share) form a group; large groups are dealt into blocks.
     3. The token-block matrix holds, for each block, the union of its sets' rarest
-       tokens, so many that a linked set must have one of them.
-    4. Blocks with a token in common are candidates. There the sets of one visit
-       the other: the overlap of a set with the block's token union bounds its
+       tokens, so many that linked sets have a sixteenth of their size in common.
+    4. Blocks with so many tokens in common are candidates. There the sets of one
+       visit the other: the overlap of a set with the block's token union bounds its
        overlap with any member, and only if that is enough is the block opened.
     5. What is linked in a task leaves it as a spanning set of links, and the
        links of all are joined to components. Links found within a component
@@ -374,7 +385,11 @@ def _candidates(texts: DataFrame, blocks: DataFrame, levels: bytes, percent: int
         reps, (F.col("set_key") == F.col("of_set")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     ).select("block", F.explode("tokens").alias("token"))
     matrix = owned.repartition("token").sortWithinPartitions("token", "block")
-    return matrix.mapInArrow(_block_pairs, "a long, b long").distinct()
+    counted = matrix.mapInArrow(_block_pairs, "a long, b long, shared long").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    # The fewest tokens of a set of either class; a hair below, for rounding.
+    smaller = F.least(F.col("a").bitwiseAND(F.lit(255)), F.col("b").bitwiseAND(F.lit(255))).cast("double")
+    fewest = F.floor(F.pow(F.lit(100 / percent), smaller) * (1 - 1e-6))
+    return counted.filter(F.col("shared") >= 1 + F.floor(fewest / MORE)).select("a", "b")
 
 
 def _verified(texts: DataFrame, blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -391,27 +406,25 @@ def _verified(texts: DataFrame, blocks: DataFrame, pairs: DataFrame, percent: in
         several.join(crowd, "target", "full_outer").select("target", F.coalesce("parts", F.lit(1)).alias("parts")),
         "open-blocks",
     )
-    moves = stage(
-        homes.select(F.col("target").alias("block"), "target", "parts", F.lit(0).alias("visits")).union(
-            visits.join(homes, "target").select("block", "target", "parts", F.lit(1).alias("visits"))
-        ),
-        "block-moves",
+    # All blocks a set goes to, its own first: no more than there are blocks to compare with.
+    moves = homes.select(F.col("target").alias("block"), "target", "parts", F.lit(0).alias("visits")).union(
+        visits.join(homes, "target").select("block", "target", "parts", F.lit(1).alias("visits"))
     )
+    moves = moves.groupBy("block").agg(F.collect_list(F.struct("target", "parts", "visits")).alias("moves"))
     wanted = stage(
-        blocks.join(moves.select("block").distinct(), "block", "left_semi").select(
-            F.col("rep").alias("of_doc"), "set_key", "block"
-        ),
-        "candidate-sets",
+        blocks.join(moves, "block").select(F.col("rep").alias("of_doc"), "set_key", "moves"), "candidate-sets"
     )
+    # The candidates grow with the documents: merged at any size, and never sent to all executors.
     sets = (
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of_doc")))
-        .select("text", "set_key", "block")
+        texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc")))
+        .select("text", "set_key", "moves")
         .mapInArrow(_open_sets, SETS)
     )
     own_part = F.array(F.pmod(F.xxhash64("set_key"), F.col("parts").cast("bigint")).cast("int"))
     every_part = F.sequence(F.lit(0), F.col("parts") - 1)
     dealt = (
-        sets.join(moves, "block")
+        sets.select("set_key", "tokens", F.explode("moves").alias("move"))
+        .select("set_key", "tokens", "move.*")
         .withColumn("part", F.explode(F.when(F.col("visits") == 1, own_part).otherwise(every_part)))
         .select("target", "part", "visits", "set_key", "tokens")
     )
