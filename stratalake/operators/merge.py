@@ -53,20 +53,27 @@ def merge_update(
     source: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
+    newer_by: Sequence[str] = (),
 ) -> DataFrame:
     """``target`` with ``columns`` replaced on every row whose key is in ``source``.
 
     Columns the target lacks are added, NULL on rows without a match. Values
-    take the target's type. ``source`` must be unique on ``keys``.
+    take the target's type. ``source`` must be unique on ``keys``. With
+    ``newer_by`` a target row is left alone if it is the newer one by these
+    columns of both, compared in turn; NULL is oldest.
     """
     if columns is None:
         columns = [c for c in source.columns if c not in keys]
+    carried = [*keys, *columns, *(c for c in newer_by if c not in columns and c not in keys)]
     renamed = source.select(
-        *(F.col(c).alias(_FROM_SOURCE + c) for c in [*keys, *columns]),
+        *(F.col(c).alias(_FROM_SOURCE + c) for c in carried),
         F.lit(True).alias(_MATCHED),
     )
     on = _all_of([target[k] == renamed[_FROM_SOURCE + k] for k in keys])
     matched = F.col(_MATCHED).isNotNull()
+    if newer_by:
+        arrived = F.struct(*(F.col(_FROM_SOURCE + c).cast(target.schema[c].dataType).alias(c) for c in newer_by))
+        matched = matched & (arrived >= F.struct(*newer_by))
     out = []
     for field in target.schema:
         if field.name in columns:
@@ -75,7 +82,7 @@ def merge_update(
         else:
             out.append(F.col(field.name))
     added = [c for c in columns if c not in target.columns]
-    out += [F.col(_FROM_SOURCE + c).alias(c) for c in added]
+    out += [F.when(matched, F.col(_FROM_SOURCE + c)).alias(c) for c in added]
     return target.join(renamed, on, "left").select(*out)
 
 
@@ -119,9 +126,13 @@ def merge_upsert(
     source: DataFrame,
     keys: Sequence[str],
     check: bool = True,
+    newer_by: Sequence[str] = (),
 ) -> DataFrame:
     """Matched rows take every source column, unmatched source rows are added.
 
+    With ``newer_by`` a matched row keeps its values if it is newer than the
+    source row by these columns.
+
     Target rows without a match stay, target-only columns keep their value and
     source-only columns widen the result. A key that occurs twice in the source
     raises; pass ``check=False`` for a source that is unique by construction.
@@ -129,7 +140,7 @@ def merge_upsert(
     is expensive to compute.
     """
     added = _in_types_of(target, new_keys(target, source, keys))
-    merged = append_rows(merge_update(target, source, keys), added)
+    merged = append_rows(merge_update(target, source, keys, newer_by=newer_by), added)
     if not check:
         return merged
     return append_rows(merged, _in_types_of(target, check_unique_source(source, keys)))

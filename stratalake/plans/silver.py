@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import partial
 
@@ -32,10 +32,14 @@ ENTITIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame], str]] = {
 }
 
 
+# What decides which of two deliveries of a sale is the newer.
+ARRIVAL = ("imported_date", "source_file")
+
+
 def sales_upsert_latest(target: DataFrame, sales: DataFrame) -> DataFrame:
-    """Cleaned sales merged on ``sale_id``: the newest arrival replaces earlier ones."""
+    """Cleaned sales merged on ``sale_id``: the newest arrival stays, whichever load it came with."""
     newest = stage(dedupe_latest(sales, ["sale_id"]), "sales")
-    return merge_upsert(target, newest, ["sale_id"], check=False)
+    return merge_upsert(target, newest, ["sale_id"], check=False, newer_by=ARRIVAL)
 
 
 def load_silver_entity(target: DataFrame, bronze: DataFrame, table: str) -> DataFrame:
@@ -53,7 +57,7 @@ def run_silver(
 ) -> None:
     """Load all silver tables, side by side.
 
-    ``sales`` is ``"upsert"`` (a sale replaces its earlier arrival, so a second
+    ``sales`` is ``"upsert"`` (the newest arrival of a sale stays, so a second
     run changes nothing) or ``"append"`` (every run adds all its rows). With
     ``since`` only bronze rows imported after that time are read. An upsert of
     nothing but new keys is written as an append: finding that out reads one
@@ -84,13 +88,13 @@ def run_silver(
         if sales == "append":
             lake.append_rows("silver", "sales_clean", lines)
         else:
-            _upsert(lake, "sales_clean", dedupe_latest(lines, ["sale_id"]), "sale_id")
+            _upsert(lake, "sales_clean", dedupe_latest(lines, ["sale_id"]), "sale_id", ARRIVAL)
 
     entities = [partial(load_entity, t, entity) for t, (entity, _, _) in ENTITIES.items()]
     run_together(lake.spark, [*entities, load_history, load_sales])
 
 
-def _upsert(lake: Lakehouse, table: str, arrivals: DataFrame, key: str) -> None:
+def _upsert(lake: Lakehouse, table: str, arrivals: DataFrame, key: str, newer_by: Sequence[str] = ()) -> None:
     """Upsert rows that are unique on ``key``, rewriting the table only if it has one of the keys."""
     newest = stage(arrivals, table)
     if newest.isEmpty():
@@ -99,4 +103,5 @@ def _upsert(lake: Lakehouse, table: str, arrivals: DataFrame, key: str) -> None:
     if target.select(key).join(newest.select(key), key, "left_semi").isEmpty():
         lake.append_rows("silver", table, newest)
     else:
-        lake.overwrite_table("silver", table, merge_upsert(target, newest, [key], check=False))
+        merged = merge_upsert(target, newest, [key], check=False, newer_by=newer_by)
+        lake.overwrite_table("silver", table, merged)

@@ -21,9 +21,13 @@ def start_stream_upsert(
     keys: Sequence[str],
     checkpoint: str,
     layer: str = "silver",
+    newer_by: Sequence[str] = ("imported_date", "source_file"),
 ) -> StreamingQuery:
     """Merge each micro-batch's newest rows per key; the table sees only new arrivals.
 
+    A row of the table that is newer than the batch's by ``newer_by`` stays, as
+    arrival times may come from the data. Columns the table lacks do not decide.
+
     A batch may be offered again after a failure. Its snapshot is named after
     the stream (by the id its checkpoint keeps) and the batch: if the table
     already points there the batch is done, otherwise it starts over from the
@@ -37,9 +41,9 @@ def start_stream_upsert(
             return
         newest = stage(dedupe_latest(clean(batch), keys), "stream-upsert")
         target = newest.sparkSession.table(lake.name(layer, table))
-        lake.overwrite_table(
-            layer, table, merge_upsert(target, newest, keys, check=False), snapshot
-        )
+        decisive = [c for c in newer_by if c in target.columns and c in newest.columns]
+        merged = merge_upsert(target, newest, keys, check=False, newer_by=decisive)
+        lake.overwrite_table(layer, table, merged, snapshot)
 
     return (
         arrivals.writeStream.foreachBatch(merge_batch)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 
 from stratalake.operators import dim_date, raw_file_distinct
+from stratalake.operators.merge import merge_upsert
 from stratalake.plans import run_bronze, run_gold, run_silver
 from stratalake.schemas import GOLD, SILVER, bronze_schema, landing_schema, struct
 from stratalake.sources import read_csv_batch, scratch_root
@@ -268,7 +269,17 @@ def test_new_sales_are_appended_and_repeated_ones_replace(lake, landing, tmp_pat
     places = {t: lake.location("silver", t) for t in SILVER}
     run_silver(lake, since="2024-03-01 00:00:00")  # nothing arrived since
     assert {t: lake.location("silver", t) for t in SILVER} == places
-    assert rows(lake.read_layer("gold", "fact_sales"), "sale_id") == [("1",), ("2",), ("4",)]
+    fact = lake.read_layer("gold", "fact_sales")
+    assert rows(fact, "sale_id", "quantity") == [("1", 2), ("2", 1), ("4", 9)]
+    assert [str(r["gross_amt"]) for r in fact.filter("sale_id = '4'").collect()] == ["63.00"]
+
+
+def test_an_older_arrival_does_not_replace_a_newer_one(frame):
+    columns = "sale_id string, quantity int, imported_date timestamp, source_file string"
+    target = frame(columns, ("1", 9, datetime(2024, 3, 1), "b"), ("2", 1, datetime(2024, 1, 1), "a"), ("3", 5, None, "a"))
+    late = frame(columns, ("1", 2, datetime(2023, 3, 1), "c"), ("2", 7, datetime(2024, 1, 1), "b"), ("3", 6, datetime(2024, 1, 1), "a"))
+    merged = merge_upsert(target, late, ["sale_id"], newer_by=("imported_date", "source_file"))
+    assert rows(merged, "sale_id", "quantity") == [("1", 9), ("2", 7), ("3", 6)]
 
 
 def test_options_are_checked(lake):
