@@ -442,6 +442,12 @@ END_TO_END = f"""
                AS employee_sk, true AS is_current
       FROM (SELECT DISTINCT employee_id FROM employee_clean_history))"""
 
+CORRECTED_SALES = f"""
+    SELECT * REPLACE (
+      concat_ws('-', sale_id, trim(product_id), store_id, CAST(unit_price * 100 AS BIGINT)) AS sale_id,
+      quantity + 1 AS quantity) FROM ({sales_feed()})"""
+TWO_LOADS = END_TO_END.replace(clean_sales(sales_feed()), clean_sales(CORRECTED_SALES))
+
 ALL_CUSTOMERS = clean_customer(customer_feed())
 
 
@@ -580,6 +586,7 @@ ORACLE: dict[str, str] = {
         SELECT *, city || '/' || gender AS district FROM ({CUSTOMERS[2]}) UNION ALL
         SELECT *, NULL FROM ({CUSTOMERS[1]})""",
     "layers_end_to_end": f"{END_TO_END} {star(FIRST_LOAD)}",
+    "layers_two_loads": f"{TWO_LOADS} {star(SECOND_LOAD)}",
     "layers_end_to_end_counts": f"{END_TO_END} "
     + counts(
         {

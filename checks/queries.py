@@ -577,6 +577,14 @@ def append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """All three layers loaded once from CSV files of the whole feeds."""
+    lake, _ = _landed(spark, sf_dir, feeds.sales_feed(spark, sf_dir))
+    run_silver(lake, sales="append")
+    run_gold(lake, FIRST_LOAD, first_day="1995-01-01", last_day="2001-12-31")
+    return lake
+
+
+def _landed(spark: SparkSession, sf_dir: str, sales: DataFrame) -> tuple[Lakehouse, dict[str, str]]:
+    """The bronze layer of the whole feeds with these sales, and its landing folders."""
     root = scratch_path(spark, "lakehouse")
     lake = Lakehouse(spark, root, prefix="retail_" + root.rsplit("-", 1)[1])
     delivered = {
@@ -585,16 +593,33 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
         "product": feeds.product_feed(spark, sf_dir),
         "store": feeds.store_feed(spark, sf_dir),
         "supplier": feeds.supplier_feed(spark, sf_dir),
-        "sales_raw": feeds.sales_feed(spark, sf_dir),
+        "sales_raw": sales,
     }
     landing = {
         entity: land(rows.drop("source_file", "imported_date"), f"landing-{entity}")
         for entity, rows in delivered.items()
     }
     run_bronze(lake, landing, INGEST_TIME)
-    run_silver(lake, sales="append")
-    run_gold(lake, FIRST_LOAD, first_day="1995-01-01", last_day="2001-12-31")
-    return lake
+    return lake, landing
+
+
+@query
+def layers_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales delivered twice, loaded with default arguments: the fact has the corrected quantities."""
+    cents = (F.col("unit_price") * 100).cast("bigint").cast("string")
+    sales = feeds.sales_feed(spark, sf_dir).withColumn(
+        "sale_id", F.concat_ws("-", "sale_id", F.trim("product_id"), "store_id", cents)
+    )
+    days = {"first_day": "1995-01-01", "last_day": "2001-12-31"}
+    lake, landing = _landed(spark, sf_dir, sales)
+    run_silver(lake)
+    run_gold(lake, FIRST_LOAD, **days)
+    corrected = sales.drop("source_file", "imported_date").withColumn("quantity", F.col("quantity") + 1)
+    corrected.write.mode("append").option("header", True).csv(landing["sales_raw"])
+    run_bronze(lake, {"sales_raw": landing["sales_raw"]}, FIRST_LOAD)
+    run_silver(lake)
+    run_gold(lake, SECOND_LOAD, **days)
+    return lake.read_layer("gold", "fact_sales")
 
 
 @query
