@@ -259,7 +259,8 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("earlier").alias("cut_earlier"),
     )
     key = doc_key(F.col("doc_id"), F.col("text"))
-    joined = documents.join(spans, F.col("doc_id").eqNullSafe(F.col("cut_id")) & (key == F.col("cut_key")), "left")
+    # The documents that lose lines grow with all: merged at any size, and never sent to all executors.
+    joined = documents.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("cut_id")) & (key == F.col("cut_key")), "left")
     lines = F.split("text", "\n")
     staying = F.filter(
         lines, lambda _, i: ~F.exists("cut_spans", lambda s: (s["first"] <= i) & (i < s["after"]))
