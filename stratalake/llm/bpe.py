@@ -28,10 +28,10 @@ _SEP = 0x110000  # above every code point
 # more, the last of which is a plain space or not.
 (START, LETTERS, NUMBERS, OTHERS, QUOTED, QUOTED_RV, QUOTED_L, ENDING, SPACE_1, SPACE_N, WHITE_1, WHITE_N) = range(12)
 HERE, BEFORE = 1, 2  # a piece starts at this character; at the one before it
-CHARS = 1 << 21  # characters worked on at a time
+CHARS = 1 << 20  # characters worked on at a time
 _ROW = 64  # characters of a row in the scan
 _BITS = 5  # of a function's number
-CACHE = 1 << 19  # pieces remembered by a worker
+CACHE = 1 << 18  # pieces remembered by a worker
 
 
 def _class_table() -> np.ndarray:
@@ -414,24 +414,28 @@ def bpe_decode(ids: Column | str, path: str) -> Column:
 
     @arrow_udf("binary")
     def decode(column: pa.Array) -> pa.Array:
-        data, place, length = kept(f"bpe_tokens_{path}", lambda: _token_table(path))
-        out: list[bytes | None] = []
-        for k in range(0, len(column), 256):
-            part = column.slice(k, 256)
-            flat = part.flatten().to_numpy(zero_copy_only=False)
-            sizes = length[flat]
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            spots = np.arange(ends[-1]) + np.repeat(place[flat] - ends[:-1], sizes)
-            joined = data[spots].tobytes()
-            rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())])
-            bounds = ends[rows].tolist()
-            known = part.is_valid().to_pylist()
-            out += [joined[a:b] if ok else None for a, b, ok in zip(bounds, bounds[1:], known, strict=False)]
-        return pa.array(out, pa.binary())
+        return _decoded(column, path)
 
     return decode(ids)
 
 
+def _decoded(column: pa.Array, path: str) -> pa.Array:
+    data, place, length = kept(f"bpe_tokens_{path}", lambda: _token_table(path))
+    out: list[bytes | None] = []
+    for k in range(0, len(column), 256):
+        part = column.slice(k, 256)
+        flat = part.flatten().to_numpy(zero_copy_only=False)
+        sizes = length[flat]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        spots = np.arange(ends[-1]) + np.repeat(place[flat] - ends[:-1], sizes)
+        joined = data[spots].tobytes()
+        rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())])
+        bounds = ends[rows].tolist()
+        known = part.is_valid().to_pylist()
+        out += [joined[a:b] if ok else None for a, b, ok in zip(bounds, bounds[1:], known, strict=False)]
+    return pa.array(out, pa.binary())
+
+
 def bpe_decode_pieces(ids: Column, pieces: Column, first: Column, count: Column, path: str) -> Column:
     """The bytes of ``count`` pieces from the ``first`` (0, 1, ...) on, found by their offsets in the ids."""
     start = F.get(pieces, first)
@@ -445,8 +449,25 @@ def bpe_documents(documents: DataFrame, path: str) -> DataFrame:
     Repeated rows are encoded alike; an empty table gives no rows; other columns
     are not looked at. Columns: doc_id, ids, pieces, decoded.
     """
-    encoded = documents.select("doc_id", bpe_encode("text", path).alias("e")).select("doc_id", "e.ids", "e.pieces")
-    return encoded.select("*", bpe_decode("ids", path).alias("decoded"))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            so_far = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            first = 0
+            while first < batch.num_rows:  # a worker holds what belongs to about CHARS characters
+                last = max(first + 1, int(np.searchsorted(so_far, so_far[first] + CHARS, "right")) - 1)
+                coded = _encoded(batch.column("text").slice(first, last - first), path)
+                ids = coded.field("ids")
+                yield pa.record_batch(
+                    [batch.column("doc_id").slice(first, last - first), ids, coded.field("pieces"), _decoded(ids, path)],
+                    ["doc_id", "ids", "pieces", "decoded"],
+                )
+                first = last
+
+    return documents.select("doc_id", "text").mapInArrow(
+        code, "doc_id long, ids array<int>, pieces array<int>, decoded binary"
+    )
 
 
 def vocabulary(spark: SparkSession, name: str = "byte_bpe_50k.tiktoken") -> str:
