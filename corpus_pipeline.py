@@ -40,7 +40,8 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     groups = jaccard_components(docs)
     gone = stage(groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "group-copies")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Copies, as what the mix takes, grow with the documents: merged at any size, never sent to all executors.
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     repeated = groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
@@ -56,7 +57,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         & F.col("source").eqNullSafe(F.col("of_source"))
         & (word_count(F.col("text")) == F.col("of_size"))
     )
-    found = docs.join(taken, same)
+    found = docs.join(taken.hint("merge"), same)
     return found.withColumn("turn", F.explode(F.sequence(F.lit(1), "repeats"))).select(*docs.columns)
 
 
