@@ -471,15 +471,19 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, sha256(trim(text, ' ')) AS trimmed, sha256(upper(trim(lang))) AS upper_lang,
                sha256(lower(trim(source))) AS lower_source,
                sha256({title('trim(source)')}) AS title_source,
+               sha256(upper(replace(trim(text, ' '), 'ß', 'ss'))) AS upper_text,
+               sha256(lower(trim(text, ' '))) AS lower_text,
+               sha256(replace({title("trim(text, ' ')")}, 'ẞ', 'Ss')) AS title_text,
                sha256(regexp_replace(text, '[^0-9+]', '', 'g')) AS digits,
                coalesce(n_chars > 500, false) AS is_long,
-               coalesce(lower(lang) IN ('1', 'true', 't', 'y', 'yes'), false) AS is_yes_word
+               coalesce(lower(lang) IN ('1', 'true', 't', 'y', 'yes'), false) AS is_yes_word,
+               coalesce(lower(substring(text, 1, 1)) IN ('1', 'true', 't', 'y', 'yes'), false) AS starts_with_yes_word
         FROM documents""",
     "sales_amount": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                {amounts('l_quantity', 'l_extendedprice', 'l_discount * 100')}
         FROM lineitem""",
-    "hashdiff_customer": f"SELECT customer_id, hashdiff FROM ({fingerprinted(CUSTOMERS[2])})",
+    "hashdiff_customer": f"SELECT customer_id, hashdiff FROM ({fingerprinted(ALL_CUSTOMERS)})",
     "clean_customer": ALL_CUSTOMERS,
     "clean_product": clean_product(product_feed()),
     "clean_store": clean_store(store_feed()),
@@ -578,7 +582,7 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
           FROM events) WHERE rn = 1""",
     "clear_tables": f"""
-        SELECT 'before' AS table_name, (SELECT count(*) FROM ({CUSTOMERS[1]})) AS row_count,
+        SELECT 'before' AS table_name, (SELECT count(*) FROM ({ALL_CUSTOMERS})) AS row_count,
                10 AS column_count
         UNION ALL SELECT 'after', 0, 10""",
     "overwrite_table": f"{CALENDAR_TEXT} ({ORDER_CALENDAR}) WHERE NOT is_weekend",

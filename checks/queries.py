@@ -186,9 +186,14 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(norm_upper("lang"), 256).alias("upper_lang"),
         F.sha2(norm_lower("source"), 256).alias("lower_source"),
         F.sha2(norm_title("source"), 256).alias("title_source"),
+        F.sha2(norm_upper(text), 256).alias("upper_text"),
+        F.sha2(norm_lower(text), 256).alias("lower_text"),
+        F.sha2(norm_title(text), 256).alias("title_text"),
         F.sha2(norm_phone(text), 256).alias("digits"),
         parse_bool(F.col("n_chars") > 500).alias("is_long"),
         parse_bool("lang").alias("is_yes_word"),
+        # Letters, digits and signs; 1, t and y, in either case, are yes-words.
+        parse_bool(F.substring(text, 1, 1)).alias("starts_with_yes_word"),
     )
 
 
@@ -203,7 +208,8 @@ def sales_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hashdiff_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_snapshot(customers(spark, sf_dir, 2)).select("customer_id", "hashdiff")
+    whole = ops.clean_customer(feeds.customer_feed(spark, sf_dir))
+    return customer_snapshot(whole).select("customer_id", "hashdiff")
 
 
 # --- cleaning and dedupe ----------------------------------------------------
@@ -541,7 +547,7 @@ def clear_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "clear")
     lake = Lakehouse(spark, root, prefix="clear_" + root.rsplit("-", 1)[1])
     lake.ensure_table("silver", "customer_clean", struct(SILVER["customer_clean"]))
-    lake.append_rows("silver", "customer_clean", customers(spark, sf_dir, 1))
+    lake.append_rows("silver", "customer_clean", ops.clean_customer(feeds.customer_feed(spark, sf_dir)))
     before = ops.layer_counts({"before": stage(lake.read_layer("silver", "customer_clean"))})
     lake.clear_tables([("silver", "customer_clean")])
     after = lake.read_layer("silver", "customer_clean")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -34,9 +35,12 @@ def start_stream_upsert(
     previous snapshot, which is still in place.
     """
 
+    @cache
+    def stream_id() -> str:
+        return lake.spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        stream_id = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
-        snapshot = f"stream-{stream_id}-batch-{batch_id}"
+        snapshot = f"stream-{stream_id()}-batch-{batch_id}"
         if lake.location(layer, table).rstrip("/").endswith(f"/{snapshot}"):
             return
         newest = stage(dedupe_latest(clean(batch), keys), "stream-upsert")
