@@ -1,4 +1,4 @@
-"""Line dedup: documents that share runs of lines are aligned, and the later one loses the common blocks."""
+"""Line dedup: documents that share runs of lines are aligned, and the later one loses all common blocks."""
 
 from __future__ import annotations
 
@@ -153,8 +153,62 @@ def patience_matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def shared_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each line of ``b`` the number of lines from it on that also stand together somewhere in ``a``.
+
+    Both texts' suffixes are ranked by doubling; the one of ``a`` that shares most
+    with one of ``b`` is the next before or after it.
+    """
+    both = np.unique(np.concatenate([a, b]), return_inverse=True)[1]
+    # Two marks that occur once end the texts, so no run goes on from one into the other.
+    both = np.concatenate([both[: len(a)] + 2, [0], both[len(a) :] + 2, [1]])
+    n = len(both)
+    ranks, width = [both], 1
+    while len(ranks) == 1 or ranks[-1].max() < n - 1:
+        after = np.zeros(n, np.int64)
+        after[:-width] = ranks[-1][width:] + 1
+        ranks.append(np.unique(ranks[-1] * (n + 3) + after, return_inverse=True)[1])
+        width *= 2
+    order = np.argsort(ranks[-1])
+    spot = np.arange(n)
+    of_a = order < len(a)
+    lengths = np.zeros(n, np.int64)
+    for near in (
+        np.maximum.accumulate(np.where(of_a, spot, -1)),
+        np.minimum.accumulate(np.where(of_a, spot, n)[::-1])[::-1],
+    ):
+        at = np.flatnonzero(~of_a & (near >= 0) & (near < n))
+        x, y = order[at], order[near[at]]
+        length = np.zeros(len(at), np.int64)
+        for k in range(len(ranks) - 2, -1, -1):
+            same = (ranks[k][x] == ranks[k][y]).astype(np.int64) << k
+            x, y, length = x + same, y + same, length + same
+        lengths[order[at]] = np.maximum(lengths[order[at]], length)
+    return lengths[len(a) + 1 : -1]
+
+
+def _may_go_on(a: list[int], b: list[int], words: list[int], cut: list[bool], min_words: int) -> bool:
+    """Whether lines that stay lie in a stretch of ``min_words`` words all of whose lines are in ``a``."""
+    known = set(a)
+    n, stays = 0, False
+    for x, w, gone in zip(b, words, cut, strict=True):
+        if x not in known:
+            n, stays = 0, False
+            continue
+        n, stays = n + w, stays or (w > 0 and not gone)
+        if stays and n >= min_words:
+            return True
+    return False
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Spans of lines of ``b`` aligned with a run of lines of ``a``, of at least ``min_words`` words (those of ``b``)."""
+    """Spans of lines of ``b`` that stand together in ``a`` as well, of at least ``min_words`` words (those of ``b``).
+
+    First those of the alignment. It takes each line once and in order, so passages
+    that are repeated, swapped or outnumbered by short lines are not in it: the runs
+    that any line left is in follow, whatever place of ``a`` they are from. No line
+    with words stays that is in a common run of ``min_words`` words.
+    """
     spans: list[tuple[int, int]] = []
     start = last = None
     for pair in [*patience_matches(a, b), None]:
@@ -163,7 +217,18 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
                 spans.append((start[1], last[1] + 1))
             start = None
         start, last = (start or pair), pair
-    return spans
+    cut = [False] * len(b)
+    for x, y in spans:
+        cut[x:y] = [True] * (y - x)
+    if not _may_go_on(a, b, words, cut, min_words):
+        return spans
+    staying = np.concatenate([[0], np.cumsum(~np.array(cut) & (np.array(words) > 0))])
+    up_to = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    first = np.arange(len(b))
+    after = first + shared_runs(np.array(a, np.int64), np.array(b, np.int64))
+    longest = after > np.concatenate([[0], np.maximum.accumulate(after)[:-1]])  # inside none that begins before
+    found = longest & (up_to[after] - up_to[first] >= min_words) & (staying[after] > staying[first])
+    return sorted({*spans, *zip(first[found].tolist(), after[found].tolist(), strict=True)})
 
 
 SPANS = "doc_id long, doc_key long, spans array<struct<first int, after int>>, earlier long"
@@ -240,8 +305,8 @@ ADDED = ("removed_lines", "removed_spans", "earlier_docs")
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every document with the blocks deleted that an earlier document has.
 
-    A block is a run of whole lines, aligned in both documents, with at least
-    ``min_words`` words. Earlier is the smaller doc_id (null is last; equal ids
+    A block is a run of whole lines that stands in both documents, with at least
+    ``min_words`` words; where it is repeated or moved, every place of it goes. Earlier is the smaller doc_id (null is last; equal ids
     by the hash of the text). Rows that repeat both id and text are one document
     and are cut alike. The earliest document keeps its lines, so every deleted
     line is still in another document. Shorter repeats, as a licence line or a

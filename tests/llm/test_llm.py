@@ -314,6 +314,50 @@ def test_patience():
     assert line_dedup.patience_matches([], [1]) == [] and line_dedup.patience_matches([1, 1], [1, 1]) == [(0, 0), (1, 1)]
 
 
+def brute_common(a, b, words, least):
+    """Lines with words that are in a run of both texts with so many words."""
+    found = set()
+    for i in range(len(b)):
+        for j in range(len(a)):
+            k = 0
+            while i + k < len(b) and j + k < len(a) and b[i + k] == a[j + k]:
+                k += 1
+            if sum(words[i : i + k]) >= least:
+                found |= set(range(i, i + k))
+    return {i for i in found if words[i]}
+
+
+def test_repeated_and_swapped_passages_go():
+    p, q, w, x, y, u, v, h, k = range(9)
+    size = {p: 60, q: 70, h: 2, k: 3}
+    cases = [
+        ([w, p, x, p, y], [u, p, v], {1}),
+        ([x, p, y], [u, p, v, p, w], {1, 3}),
+        ([p, h, k], [h, k, p], {2}),
+        ([p, q], [q, p], {0, 1}),
+    ]
+    for a, b, gone in cases:
+        spans = line_dedup.common_blocks(a, b, [size.get(z, 5) for z in b], 50)
+        assert {i for s in spans for i in range(*s)} == gone
+    rng = np.random.default_rng(4)
+    for longest in [16] * 400 + [150] * 20:
+        kinds = int(rng.integers(2, 12))
+        lengths = rng.choice([0, 3, 10, 30, 60], kinds)
+        a, b = (rng.integers(0, kinds, rng.integers(1, longest)).tolist() for _ in range(2))
+        words = [int(lengths[z]) for z in b]
+        spans = line_dedup.common_blocks(a, b, words, 50)
+        assert {i for s in spans for i in range(*s) if words[i]} == brute_common(a, b, words, 50)
+        assert all(any(a[j : j + t - s] == b[s:t] for j in range(len(a))) and sum(words[s:t]) >= 50 for s, t in spans)
+
+
+def test_no_run_of_an_earlier_document_stays(spark):
+    p, q = PASSAGE, " ".join(f"term{k}" for k in range(70))
+    texts = [f"w\n{p}\nx\n{p}\n{q}", f"u\n{q}\nv\n{p}\nz", f"{p}\nown\n{p}\n{q}\n{p}", f"h\nk\n{q}", f"{q}\nh\nk"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    out = [r["text"] for r in line_dedup.dedup_lines(frame).orderBy("doc_id").collect()]
+    assert out == [texts[0], "u\nv\nz", "own", "h\nk", "h\nk"]
+
+
 def brute_counts(text):
     words = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
