@@ -196,15 +196,15 @@ def quality_rules(documents: DataFrame, min_group: int = 40) -> DataFrame:
     repeated 5-word windows. The rest are compared with the robust mean and
     covariance of their language and source: kept up to a squared Mahalanobis
     distance of the 0.99999 quantile. Languages' sources with fewer than
-    ``min_group`` documents are pooled per language; where even those are fewer,
-    the plain limits alone decide.
+    ``min_group`` such documents are compared with their whole language, large
+    sources included, and languages with fewer with all documents, however few.
 
     Null languages and sources are values of their own. Null and empty texts have
     no words and fail. Repeated rows count as often as they occur; an empty table
     gives no rows; other columns are not looked at.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, distance (null where not compared), kept.
+    base_failed, distance (null where the plain limits fail), kept.
     """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     counted = stage(
@@ -219,21 +219,27 @@ def quality_rules(documents: DataFrame, min_group: int = 40) -> DataFrame:
         "quality-counts",
     )
     compared = counted.filter(~F.col("base_failed"))
-    sizes = compared.groupBy("own_grp", "pool_grp").agg(F.count(F.lit(1)).alias("rows"))
-    own = F.col("rows") >= min_group
-    pooled = F.sum(F.when(own, 0).otherwise(F.col("rows"))).over(Window.partitionBy("pool_grp"))
+    sizes = stage(compared.groupBy("own_grp", "pool_grp").agg(F.count(F.lit(1)).alias("rows")), "quality-sizes")
+    languages = sizes.groupBy("pool_grp").agg(F.sum("rows").alias("pool_rows"), F.min("rows").alias("least_rows"))
+    own, pooled = F.col("rows") >= min_group, F.col("pool_rows") >= min_group
+    everything = F.xxhash64(F.lit("all"))
+    # A language or all documents are estimated only where a smaller group looks to them.
+    of_language = F.when(pooled & (F.col("least_rows") < min_group), F.col("pool_grp"))
+    some_tiny = not languages.filter(~pooled).isEmpty()
+    member = F.array(F.when(own, F.col("own_grp")), of_language, everything if some_tiny else F.lit(None).cast("long"))
     assigned = stage(
-        sizes.select(
+        sizes.join(languages, "pool_grp").select(
             "own_grp",
-            F.when(own, F.col("own_grp")).when(pooled >= min_group, F.col("pool_grp")).alias("grp"),
+            F.when(own, F.col("own_grp")).when(pooled, F.col("pool_grp")).otherwise(everything).alias("grp"),
+            F.array_compact(member).alias("member_of"),
         ),
         "quality-groups",
     )
     values = stage(
-        compared.join(assigned, "own_grp").filter(F.col("grp").isNotNull()).select("grp", *NAMES), "quality-values"
+        compared.join(assigned, "own_grp").select(F.explode("member_of").alias("grp"), *NAMES), "quality-values"
     )
     estimates = robust_estimates(values)
-    judged = _distance(counted.join(assigned, "own_grp", "left").join(estimates.drop("n"), "grp", "left"))
+    judged = _distance(counted.join(assigned.drop("member_of"), "own_grp", "left").join(estimates.drop("n"), "grp", "left"))
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     return judged.select(
         "doc_id",
@@ -244,5 +250,5 @@ def quality_rules(documents: DataFrame, min_group: int = 40) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         distance.alias("distance"),
-        (~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= LIMIT)).alias("kept"),
+        (~F.col("base_failed") & (distance <= LIMIT)).alias("kept"),
     )

@@ -377,6 +377,27 @@ def test_quality_rules(spark, odd, none, given):
             assert not (r["base_failed"] and r["kept"])
 
 
+def test_small_groups_are_judged(spark):
+    rng = np.random.default_rng(3)
+
+    def plain():
+        return " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(3, 8))) for _ in range(60))
+
+    def garbage():
+        return " ".join("#$%&" * 3 + "".join(rng.choice(list("ABCDEFGHIJ"), 8)) for _ in range(60))
+
+    rows = [("en", "hot", plain()) for _ in range(300)]
+    rows += [("en", "small", garbage()) for _ in range(39)]
+    rows += [(None, None, garbage()) for _ in range(5)] + [("xx", "rare", plain()) for _ in range(5)]
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, lang string, source string, text string")
+    out = sorted(quality_rules.quality_rules(frame).collect(), key=lambda r: r["doc_id"])
+    assert all((r["distance"] is None) == r["base_failed"] for r in out)
+    assert not any(r["base_failed"] or r["kept"] for r in out[300:344])
+    assert all(r["kept"] for r in out[344:]) and sum(r["kept"] for r in out[:300]) > 295
+    few = quality_rules.quality_rules(frame.filter("doc_id < 20")).collect()
+    assert all(r["distance"] is not None for r in few)
+
+
 def test_robust_estimates_are_those_of_numpy(spark):
     rng = np.random.default_rng(1)
     good, bad = rng.normal(0, 1, (400, 5)), rng.normal(8, 0.5, (60, 5))
