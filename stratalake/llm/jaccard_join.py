@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratalake.llm.components import connected_components
+from stratalake.llm.line_dedup import doc_key
 from stratalake.llm.words import U64, mix, shingle_sets
 from stratalake.llm.worker import slices, utf8
 from stratalake.sources import stage
@@ -44,7 +45,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield from zip(range(a, b), sets, strict=True)
 
 
-SUMMARY = "doc_id long, n_shingles long, set_key long, lows array<long>, chunk int, counts binary"
+SUMMARY = "doc_id long, doc_key long, n_shingles long, set_key long, lows array<long>, chunk int, counts binary"
 
 
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,13 +67,14 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
+                batch.column("doc_key"),
                 pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.int64()),
                 pa.array(lows, pa.list_(pa.int64())),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "lows", "chunk", "counts"],
+            ["doc_id", "doc_key", "n_shingles", "set_key", "lows", "chunk", "counts"],
         )
     rows = sketch.reshape(-1, 1 << CHUNK_BITS)
     used = np.flatnonzero(rows.any(axis=1))
@@ -83,11 +85,12 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.nulls(m, pa.int64()),
                 pa.nulls(m, pa.int64()),
                 pa.nulls(m, pa.int64()),
+                pa.nulls(m, pa.int64()),
                 pa.nulls(m, pa.list_(pa.int64())),
                 pa.array(used, pa.int32()),
                 pa.array([rows[k].tobytes() for k in used.tolist()], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "lows", "chunk", "counts"],
+            ["doc_id", "doc_key", "n_shingles", "set_key", "lows", "chunk", "counts"],
         )
 
 
@@ -191,7 +194,7 @@ SETS = "set_key long, moves array<struct<target long, parts int, visits int>>, t
 
 
 def _open_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole sets of the candidates' texts. A row of the same id but other words is none of them."""
+    """Whole sets of the candidates' texts. Should other words have the same id and hash, they are none of them."""
     for batch in batches:
         keys, moves = batch.column("set_key").to_pylist(), batch.column("moves")
         rows, sets = [], []
@@ -323,14 +326,29 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
 
     Columns: doc_id, n_shingles, component_id.
     """
-    texts = documents.select("doc_id", "text")
+    return jaccard_groups(documents, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _first(doc_id: str, key: str) -> Column:
+    """The least doc_id, null last, and of its texts that with the least key."""
+    return F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc_id"), F.col(key).alias("doc_key")))
+
+
+def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """As ``jaccard_components``, with ``doc_key``, which tells texts of one id apart, and ``first_key``.
+
+    The row of a component that has ``component_id`` and ``first_key`` is its first,
+    also where ids are null or repeated. Rows that repeat id and text are one.
+    """
+    texts = documents.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"), "text")
     summary = stage(texts.mapInArrow(_summarise, SUMMARY), "shingle-sets")
     levels = _token_levels(summary)
-    docs = summary.filter(F.col("chunk").isNull()).select("doc_id", "n_shingles", "set_key", "lows")
+    docs = summary.filter(F.col("chunk").isNull()).select("doc_id", "doc_key", "n_shingles", "set_key", "lows")
     vertices = stage(
         docs.filter("n_shingles > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("lows").alias("lows")),
+        .agg(_first("doc_id", "doc_key").alias("rep"), F.first("n_shingles").alias("n"), F.first("lows").alias("lows"))
+        .select("set_key", F.col("rep.doc_id").alias("rep"), F.col("rep.doc_key").alias("rep_key"), "n", "lows"),
         "distinct-sets",
     )
     blocks = stage(_blocks(vertices, percent), "set-blocks")
@@ -338,13 +356,19 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
     edges = _verified(texts, blocks, pairs, percent)
     parts = stage(connected_components(edges), "set-components")
     tied = vertices.join(parts, F.col("set_key") == F.col("node"), "left").select(
-        "set_key", "rep", F.coalesce("root", "set_key").alias("root")
+        "set_key", "rep", "rep_key", F.coalesce("root", "set_key").alias("root")
     )
-    lowest = tied.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_set = stage(tied.join(lowest, "root").select("set_key", "component_id"), "set-component-ids")
+    lowest = tied.groupBy("root").agg(_first("rep", "rep_key").alias("first"))
+    of_set = stage(tied.join(lowest, "root").select("set_key", "first"), "set-component-ids")
     out = docs.join(of_set, "set_key", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    alone = F.col("n_shingles") == 0
+    return out.select(
+        "doc_id",
+        "doc_key",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        F.when(alone, F.col("doc_key")).otherwise(F.col("first.doc_key")).alias("first_key"),
+    )
 
 
 def _blocks(vertices: DataFrame, percent: int) -> DataFrame:
@@ -368,6 +392,7 @@ def _blocks(vertices: DataFrame, percent: int) -> DataFrame:
     return vertices.join(chosen, "set_key", "left").select(
         "set_key",
         "rep",
+        "rep_key",
         "n",
         F.shiftleft(block, 8).bitwiseOR(_class_byte(size_class)).alias("block"),
     )
@@ -412,11 +437,14 @@ def _verified(texts: DataFrame, blocks: DataFrame, pairs: DataFrame, percent: in
     )
     moves = moves.groupBy("block").agg(F.collect_list(F.struct("target", "parts", "visits")).alias("moves"))
     wanted = stage(
-        blocks.join(moves, "block").select(F.col("rep").alias("of_doc"), "set_key", "moves"), "candidate-sets"
+        blocks.join(moves, "block").select(F.col("rep").alias("of_doc"), F.col("rep_key").alias("of_key"), "set_key", "moves"),
+        "candidate-sets",
     )
     # The candidates grow with the documents: merged at any size, and never sent to all executors.
+    # The key keeps the texts of one id, or of none, from meeting each other's sets.
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("doc_key") == F.col("of_key"))
     sets = (
-        texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of_doc")))
+        texts.join(wanted.hint("merge"), same)
         .select("text", "set_key", "moves")
         .mapInArrow(_open_sets, SETS)
     )

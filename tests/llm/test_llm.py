@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import _bag, tables
-from stratalake.llm import bpe, fingerprints, line_dedup, mixing, quality_classifier, quality_rules, sharding, url_filter, warc
+from stratalake.llm import bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, sharding, url_filter, warc
 from stratalake.llm.components import connected_components
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.queries import ORACLE, QUERIES, URL_RULES
@@ -150,6 +150,26 @@ def test_near_copies_in_a_large_group(spark):
     assert Counter(map(tuple, jaccard_components(frame).collect())) == brute_components(texts)
 
 
+def test_texts_without_an_id_meet_their_own_sets_only(spark, monkeypatch):
+    texts = [" ".join(f"g{g}w{k}" for k in range(60)) + f" end{i}" for g in range(6) for i in range(3)]
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    opened = spark.sparkContext.accumulator(0)
+    plain = jaccard_join._open_sets
+
+    def counting(batches):
+        def seen():
+            for batch in batches:
+                opened.add(batch.num_rows)
+                yield batch
+
+        return plain(seen())
+
+    monkeypatch.setattr(jaccard_join, "_open_sets", counting)
+    groups = jaccard_join.jaccard_groups(frame).collect()
+    assert 0 < opened.value <= len(texts)
+    assert len({r["first_key"] for r in groups}) == 6
+
+
 def test_connected_components(spark):
     edges = [(k, k + 1) for k in range(0, 60) if k % 10 != 9] + [(5, 105), (105, 25), (7, 7)]
     out = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
