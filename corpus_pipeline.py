@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm.bpe import bpe_documents, vocabulary
-from stratalake.llm.jaccard_join import jaccard_components
-from stratalake.llm.line_dedup import dedup_lines
+from stratalake.llm.jaccard_join import jaccard_groups
+from stratalake.llm.line_dedup import dedup_lines, doc_key
 from stratalake.llm.mixing import WORD, mix_sources, word_count
 from stratalake.llm.quality_classifier import CUT, fit_quality_model, quality_score
 from stratalake.sources import stage
@@ -33,16 +33,20 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their shingles that with the smallest doc_id.
+    """Of documents linked by their shingles the first: that with the smallest doc_id, null last.
 
-    Rows with the same doc_id are judged together, and of those that repeat the
-    text as well one stays. Rows without an id stay.
+    Texts of the same doc_id, or of none, are judged each by itself, the least hash
+    first. Of rows that repeat both doc_id and text one stays.
     """
-    groups = jaccard_components(docs)
-    gone = stage(groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct(), "group-copies")
+    groups = stage(jaccard_groups(docs), "text-groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("doc_key") == F.col("first_key"))
+    copies = groups.filter(~first).select(F.col("doc_id").alias("of_id"), F.col("doc_key").alias("of_key"))
+    gone = stage(copies.distinct(), "group-copies")
     # Copies, as what the mix takes, grow with the documents: merged at any size, never sent to all executors.
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (doc_key(F.col("doc_id"), F.col("text")) == F.col("of_key"))
+    kept = docs.join(gone.hint("merge"), same, "left_anti").select(*docs.columns)
+    # Without repeated keys there is nothing to drop.
+    repeated = groups.filter(first).groupBy("doc_id", "doc_key").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -39,3 +39,16 @@ def test_stages(spark):
     coded = pipeline.STAGES[-1][1](spark, mixed, SF_DIR).collect()
     text = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in single.collect()}
     assert Counter((r["doc_id"], r["decoded_sha256"]) for r in coded) == Counter({(d, text[d]): n for d, n in times.items()})
+
+
+@pytest.mark.parametrize("unrelated", [[], [(7, "some other text that stands here twice under one id")] * 2])
+def test_one_of_group_where_ids_are_null_or_repeated(spark, unrelated):
+    base = " ".join(f"word{k}" for k in range(60))
+    clean = " ".join(f"term{k}" for k in range(60))
+    rows = [(None, base + " a"), (None, base + " a"), (None, base + " b")]  # copies without an id
+    rows += [(1, "x " + clean), (2, clean), (2, "an unlike text of the same id as a copy")]
+    frame = spark.createDataFrame([*rows, *unrelated], "doc_id long, text string")
+    out = [tuple(r) for r in pipeline.keep_one_of_group(spark, frame, SF_DIR).collect()]
+    nameless = [t for d, t in out if d is None]
+    assert len(nameless) == 1 and nameless[0].startswith(base)
+    assert sorted(r for r in out if r[0] is not None) == sorted({(1, "x " + clean), rows[5], *unrelated})
