@@ -84,7 +84,7 @@ def _owner_stage(owner: int, last: bool, k: int) -> Callable[[pa.Table, pa.Table
         here_ids = both_ids[first]
         at, held = place[: len(term)][order], place[len(term) :]
         names, starts = np.unique(term, return_index=True)
-        ends = np.append(starts[1:], len(term))
+        ends = np.append(starts, len(term))[1:]
         lists = {int(t): (a, b) for t, a, b in zip(names, starts, ends, strict=True)}
         totals = np.zeros(len(here), np.int64)
         out = []

@@ -248,19 +248,19 @@ WITH docs AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
 ), starts AS (
-  SELECT item_id, words, least(len(words), 10) AS width, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS at
+  SELECT item_id, words, least(len(words), 10) AS width, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS first_word
   FROM items WHERE len(words) > 0
 ), windows AS (
-  SELECT DISTINCT item_id, width, array_to_string(words[at:at + width - 1], ' ') AS win FROM starts
+  SELECT DISTINCT item_id, width, array_to_string(list_slice(words, first_word, first_word + width - 1), ' ') AS win FROM starts
 ), runs AS (
-  SELECT row_no, words, width, unnest(range(1, len(words) - width + 2)) AS at
+  SELECT row_no, words, width, unnest(range(1, len(words) - width + 2)) AS first_word
   FROM docs, (SELECT DISTINCT width FROM windows) WHERE len(words) >= width
 ), found AS (
-  SELECT row_no, item_id, at, runs.width FROM runs JOIN windows
-  ON runs.width = windows.width AND win = array_to_string(words[at:at + runs.width - 1], ' ')
+  SELECT row_no, item_id, first_word, runs.width FROM runs JOIN windows
+  ON runs.width = windows.width AND win = array_to_string(list_slice(words, first_word, first_word + runs.width - 1), ' ')
 ), hits AS (
   SELECT row_no, count(DISTINCT word_no)::BIGINT AS n_hit
-  FROM (SELECT row_no, unnest(range(at, at + width)) AS word_no FROM (SELECT DISTINCT row_no, at, width FROM found))
+  FROM (SELECT row_no, unnest(range(first_word, first_word + width)) AS word_no FROM (SELECT DISTINCT row_no, first_word, width FROM found))
   GROUP BY row_no
 ), named AS (
   SELECT row_no, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
