@@ -69,7 +69,11 @@ def _listed(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
 def _owner_stage(owner: int, last: bool, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The function of one owner: one bucket's bundles and the owner's postings in it."""
 
+    kinds = {n: pa.int64() for n in ("bucket", "grp", "item")}
+    kinds |= {n: pa.list_(pa.int32() if n == "owners" else pa.int64()) for n in ("terms", "owners", "most", "rows", "ids", "scores")}
+
     def advance(bundles: pa.Table, postings: pa.Table) -> pa.Table:
+        bundles = bundles.cast(pa.schema(kinds))
         if bundles.num_rows == 0:
             return bundles
         rows, offsets = _listed(bundles, "rows")
