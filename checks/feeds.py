@@ -16,6 +16,7 @@ CUSTOMERS_SPLIT = "1998-04-01"
 PRODUCTS_SPLIT = "1995-04-01"
 SALES_SPLIT = "1998-01-01"
 EMPLOYEES_SPLIT = "2024-01-16"
+FIRST_DAY = "1995-01-01"
 # Accounts below this balance are delivered first, then all accounts.
 BALANCE_SPLIT = 1000
 # Spend of a period that earns a tier.
@@ -43,7 +44,11 @@ def _between(rows: DataFrame, column: str, since: str | None, until: str | None)
 def customer_feed(
     spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
-    """Customers with an order in the period, their tier by what they spent in it."""
+    """Customers with an order in the period, their tier by what they spent in it.
+
+    The whole feed has those without any order too, as of the first day.
+    """
+    whole = since is None and until is None
     spend = (
         _between(table(spark, sf_dir, "orders"), "o_orderdate", since, until)
         .groupBy("o_custkey")
@@ -54,7 +59,8 @@ def customer_feed(
     )
     return (
         table(spark, sf_dir, "customer")
-        .join(spend, F.col("c_custkey") == F.col("o_custkey"))
+        .join(spend, F.col("c_custkey") == F.col("o_custkey"), "left" if whole else "inner")
+        .withColumn("last_order", F.coalesce("last_order", F.lit(FIRST_DAY).cast("timestamp")))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.concat(F.lit(" "), _text("c_custkey")).alias("customer_id"),
@@ -181,3 +187,45 @@ def sales_feed(
             F.col("l_shipdate").cast("timestamp").alias("imported_date"),
         )
     )
+
+
+def returns_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sale lines as a till may write them: returns count down, unpriced and unnumbered lines occur."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            F.when(F.col("l_discount") > 0.01, F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber"))).alias("sale_id"),
+            F.col("o_orderdate").cast("timestamp").alias("sale_ts"),
+            F.concat(F.lit(" "), _text("o_custkey")).alias("customer_id"),
+            F.concat(_text("l_partkey"), F.lit(" ")).alias("product_id"),
+            _text("s_nationkey").alias("store_id"),
+            _text("o_custkey").alias("employee_id"),
+            # Returned lines count down; of a supplier in debt nothing is left.
+            F.when(F.col("l_returnflag") == "R", -F.col("l_quantity"))
+            .when(F.col("s_acctbal") < 0, 0)
+            .otherwise(F.col("l_quantity"))
+            .cast("int")
+            .alias("quantity"),
+            F.when(F.col("l_discount") < 0.09, F.col("l_extendedprice") * F.signum(F.col("s_acctbal") + 500))
+            .cast("decimal(10,2)")
+            .alias("unit_price"),
+            F.col("o_orderpriority").alias("coupon_code"),
+            (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_percent"),
+            F.col("l_returnflag").alias("mode"),
+            F.concat(F.lit("till_"), "l_linestatus", F.lit(".csv")).alias("source_file"),
+            F.col("l_shipdate").cast("timestamp").alias("imported_date"),
+        )
+    )
+
+
+def unnamed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole customer feed; accounts in debt come without an id."""
+    debt = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(
+        F.concat(F.lit(" "), _text("c_custkey")).alias("customer_id"), F.lit(True).alias("in_debt")
+    )
+    feed = customer_feed(spark, sf_dir)
+    return feed.join(debt, "customer_id", "left").withColumn(
+        "customer_id", F.when(F.col("in_debt").isNull(), F.col("customer_id"))
+    ).select(*feed.columns)

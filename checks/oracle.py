@@ -11,12 +11,13 @@ from checks.feeds import (
     BALANCE_SPLIT,
     CUSTOMERS_SPLIT,
     EMPLOYEES_SPLIT,
+    FIRST_DAY,
     GOLD_SPEND,
     PRODUCTS_SPLIT,
     SALES_SPLIT,
     SILVER_SPEND,
 )
-from checks.queries import FIRST_LOAD, INGEST_TIME, SECOND_LOAD
+from checks.queries import CORRECTION_TIME, FIRST_LOAD, INGEST_TIME, SECOND_LOAD
 
 OPEN_CUSTOMER = "9999-12-31 23:59:59"
 OPEN_EMPLOYEE = "9999-12-31 00:00:00"
@@ -39,6 +40,8 @@ def between(column: str, since: str | None, until: str | None) -> str:
 
 
 def customer_feed(since: str | None = None, until: str | None = None) -> str:
+    kind = "LEFT JOIN" if since is None and until is None else "JOIN"
+    last_order = f"coalesce(last_order, TIMESTAMP '{FIRST_DAY}')"
     return f"""
     SELECT ' ' || c_custkey AS customer_id, lower(c_name) || '  ' AS customer_name,
            lower(c_mktsegment) || ' ' AS gender, c_nationkey + 18 AS age,
@@ -47,10 +50,10 @@ def customer_feed(since: str | None = None, until: str | None = None) -> str:
            lower(n_name) || ' TOWN' AS city,
            CASE WHEN spend >= {GOLD_SPEND} THEN 'GOLD'
                 WHEN spend >= {SILVER_SPEND} THEN 'SILVER' ELSE 'BRONZE' END AS loyalty_tier,
-           'customers_' || year(last_order) || '.csv' AS source_file,
-           last_order AS imported_date
+           'customers_' || year({last_order}) || '.csv' AS source_file,
+           {last_order} AS imported_date
     FROM customer
-    JOIN (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend,
+    {kind} (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spend,
                  max(o_orderdate) AS last_order
           FROM orders WHERE {between('o_orderdate', since, until)} GROUP BY o_custkey)
       ON c_custkey = o_custkey
@@ -116,6 +119,26 @@ def sales_feed(since: str | None = None, until: str | None = None) -> str:
     WHERE {between('l_shipdate', since, until)}"""
 
 
+def returns_feed() -> str:
+    return """
+    SELECT CASE WHEN l_discount > 0.01 THEN l_orderkey || '-' || l_linenumber END AS sale_id, o_orderdate AS sale_ts,
+           ' ' || o_custkey AS customer_id, l_partkey || ' ' AS product_id,
+           CAST(s_nationkey AS VARCHAR) AS store_id, CAST(o_custkey AS VARCHAR) AS employee_id,
+           CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity WHEN s_acctbal < 0 THEN 0 ELSE l_quantity END AS INTEGER)
+             AS quantity,
+           CAST(CASE WHEN l_discount < 0.09 THEN l_extendedprice * sign(s_acctbal + 500) END AS DECIMAL(10,2)) AS unit_price,
+           o_orderpriority AS coupon_code, CAST(l_discount * 100 AS DECIMAL(5,2)) AS discount_percent,
+           l_returnflag AS mode, 'till_' || l_linestatus || '.csv' AS source_file, l_shipdate AS imported_date
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"""
+
+
+def unnamed_customers() -> str:
+    return f"""
+    SELECT * REPLACE (CASE WHEN CAST(trim(customer_id) AS BIGINT) NOT IN
+                                (SELECT c_custkey FROM customer WHERE c_acctbal < 0) THEN customer_id END AS customer_id)
+    FROM ({customer_feed()})"""
+
+
 # --- cleaning -----------------------------------------------------------------
 
 
@@ -448,6 +471,23 @@ CORRECTED_SALES = f"""
       quantity + 1 AS quantity) FROM ({sales_feed()})"""
 TWO_LOADS = END_TO_END.replace(clean_sales(sales_feed()), clean_sales(CORRECTED_SALES))
 
+# What returned sales were corrected to, and the others.
+LATE_SALES = f"""
+    SELECT * REPLACE (
+      CASE WHEN returned THEN CAST(CAST(store_id AS INTEGER) + 1 AS VARCHAR) ELSE customer_id END AS customer_id,
+      CASE WHEN returned THEN CAST(CAST(store_id AS INTEGER) + 2 AS VARCHAR) ELSE product_id END AS product_id,
+      CASE WHEN returned THEN CAST((CAST(store_id AS INTEGER) + 1) % 25 AS VARCHAR) ELSE store_id END AS store_id,
+      CASE WHEN returned THEN sale_ts + INTERVAL 1 DAY ELSE sale_ts END AS sale_ts)
+    FROM (SELECT * REPLACE (
+            concat_ws('-', sale_id, trim(product_id), store_id, CAST(unit_price * 100 AS BIGINT)) AS sale_id),
+            trim(mode) = 'R' AS returned
+          FROM ({sales_feed()}))"""
+LATE_CORRECTION = END_TO_END.replace(clean_sales(sales_feed()), clean_sales(LATE_SALES))
+LATE_STAR = star(SECOND_LOAD).replace(
+    f"TIMESTAMP '{SECOND_LOAD}'",
+    f"CASE WHEN returned THEN TIMESTAMP '{SECOND_LOAD}' ELSE TIMESTAMP '{FIRST_LOAD}' END",
+)
+
 ALL_CUSTOMERS = clean_customer(customer_feed())
 
 
@@ -458,10 +498,41 @@ def counts(tables: dict[str, str]) -> str:
     )
 
 
+def evolved_customers(period: dict[str, str], arrival: str, district: str) -> str:
+    return f"""
+    SELECT * EXCLUDE (source_file, imported_date), TIMESTAMP '{arrival}' AS imported_date, {district} AS district
+    FROM ({customer_feed(**period)})"""
+
+
+EVOLVED = (
+    evolved_customers({"until": CUSTOMERS_SPLIT}, INGEST_TIME, "NULL"),
+    evolved_customers({"since": CUSTOMERS_SPLIT}, CORRECTION_TIME, "trim(city) || '/' || trim(gender)"),
+)
+TRIMMED = cleaned(
+    " UNION ALL ".join(EVOLVED), "customer_id customer_name gender email phone_number city loyalty_tier"
+)
+
+
 def audited_events() -> str:
     return f"SELECT *, TIMESTAMP '{INGEST_TIME}' AS imported_date, true AS from_csv_file FROM events"
 
 
+LOADED_TABLES = {
+    "silver.customer_clean": "dim_customer",
+    "silver.product_clean": "dim_product",
+    "silver.store_clean": "dim_store",
+    "silver.supplier_clean": "dim_supplier",
+    "silver.employee_clean_history": "employee_clean_history",
+    "silver.sales_clean": "sales",
+    "gold.dim_customer": "dim_customer",
+    "gold.dim_employee": "dim_employee",
+    "gold.dim_product": "dim_product",
+    "gold.dim_store": "dim_store",
+    "gold.dim_supplier": "dim_supplier",
+    "gold.dim_date": "dim_date",
+    "gold.fact_sales": "sales",
+}
+
 # The distinct text of a column, with the header line that is read as data.
 RAW_EMPLOYEES = f"""
     SELECT employee_id FROM ({sales_feed()}) UNION SELECT 'employee_id'"""
@@ -555,15 +626,16 @@ ORACLE: dict[str, str] = {
         WHERE employee_sk IS NOT NULL""",
     "employee_coverage": f"""{FACT}
         SELECT DISTINCT known_employee AS dim_employee_id, employee_id AS sales_employee_id {STAR}""",
-    "layer_counts": f"{FACT} "
+    "layer_counts": f"{END_TO_END} "
     + counts(
         {
             "raw.customer": f"({customer_feed()})",
+            "raw.employee": f"({employee_feed()})",
+            "raw.product": f"({product_feed()})",
+            "raw.store": f"({store_feed()})",
+            "raw.supplier": f"({supplier_feed()})",
             "raw.sales_raw": f"({sales_feed()})",
-            "silver.sales_clean": "(SELECT DISTINCT sale_id FROM sales)",
-            "silver.employee_clean_history": "loaded_2",
-            "gold.dim_customer": "dim_customer",
-            "gold.dim_date": "dim_date",
+            **LOADED_TABLES,
         }
     ),
     "raw_file_distinct": RAW_EMPLOYEES,
@@ -591,22 +663,33 @@ ORACLE: dict[str, str] = {
         SELECT *, NULL FROM ({CUSTOMERS[1]})""",
     "layers_end_to_end": f"{END_TO_END} {star(FIRST_LOAD)}",
     "layers_two_loads": f"{TWO_LOADS} {star(SECOND_LOAD)}",
-    "layers_end_to_end_counts": f"{END_TO_END} "
-    + counts(
+    "layers_end_to_end_counts": f"{END_TO_END} " + counts(LOADED_TABLES),
+    "layers_late_correction": f"{LATE_CORRECTION} {LATE_STAR}",
+    "raw_evolved_customers": TRIMMED,
+    "silver_evolved_customers": f"""
+        WITH first AS MATERIALIZED ({clean_customer(EVOLVED[0])}), second AS MATERIALIZED ({clean_customer(EVOLVED[1])})
+        SELECT * FROM second UNION ALL
+        SELECT * FROM first WHERE customer_id NOT IN (SELECT customer_id FROM second)""",
+    "sales_upsert_late": latest(clean_sales(sales_feed()), "sale_id", SALES_TIES),
+    "kept_sales": clean_sales(returns_feed()),
+    "kept_fact_lines": f"""
+        SELECT sale_id, product_id, quantity, unit_price, mode FROM ({returns_feed()})
+        WHERE sale_id IS NOT NULL AND quantity >= 0 AND unit_price >= 0""",
+    "kept_customers": latest(
+        f"SELECT * FROM ({clean_customer(unnamed_customers())}) WHERE customer_id IS NOT NULL", "customer_id", CUSTOMER_TIES
+    ),
+    "rejected_rows": counts(
         {
-            "silver.customer_clean": "dim_customer",
-            "silver.product_clean": "dim_product",
-            "silver.store_clean": "dim_store",
-            "silver.supplier_clean": "dim_supplier",
-            "silver.employee_clean_history": "employee_clean_history",
-            "silver.sales_clean": "sales",
-            "gold.dim_customer": "dim_customer",
-            "gold.dim_employee": "dim_employee",
-            "gold.dim_product": "dim_product",
-            "gold.dim_store": "dim_store",
-            "gold.dim_supplier": "dim_supplier",
-            "gold.dim_date": "dim_date",
-            "gold.fact_sales": "sales",
+            "silver sales, delivered": f"({returns_feed()})",
+            "fact lines, delivered": f"({returns_feed()})",
+            "customer keys, delivered": f"({unnamed_customers()})",
+            "silver sales, kept": f"({clean_sales(returns_feed())})",
+            "fact lines, kept": f"""({returns_feed()}
+                AND l_discount > 0.01 AND l_discount < 0.09 AND l_returnflag <> 'R' AND s_acctbal + 500 >= 0)""".replace(
+                "l_suppkey = s_suppkey\n                AND", "l_suppkey = s_suppkey WHERE"
+            ),
+            "customer keys, kept": "(SELECT c_custkey FROM customer WHERE c_acctbal >= 0)",
         }
     ),
 }
+ORACLE["merge_upsert_sorted"] = ORACLE["table_upsert_sales"] = ORACLE["sales_upsert"]

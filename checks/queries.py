@@ -15,6 +15,7 @@ from checks.feeds import (
     SALES_SPLIT,
 )
 from stratalake import operators as ops
+from stratalake.operators.facts import valid_lines
 from stratalake.functions import hashdiff, norm_key, norm_lower, norm_phone, norm_title, norm_upper
 from stratalake.functions import parse_bool, sales_amounts
 from stratalake.plans import (
@@ -29,13 +30,14 @@ from stratalake.plans import (
     sales_upsert_latest,
 )
 from stratalake.plans.together import run_together
-from stratalake.schemas import GOLD, SILVER, struct
+from stratalake.schemas import GOLD, LANDING, SILVER, struct
 from stratalake.sources import Lakehouse, read_csv_batch, scratch_path, stage
 from stratalake.streaming import csv_stream, ingest_stream, read_evolved, stream_upsert, with_audit
 
 FIRST_LOAD = "2024-03-01 00:00:00"
 SECOND_LOAD = "2024-04-01 00:00:00"
 INGEST_TIME = "2024-02-01 00:00:00"
+CORRECTION_TIME = "2024-02-15 00:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -313,6 +315,68 @@ def sales_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_upsert_latest(stage(first), sales(spark, sf_dir, since=SALES_SPLIT))
 
 
+@query
+def sales_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older deliveries come second: the newest arrival stays though it was loaded first."""
+    first = sales_upsert_latest(
+        empty(spark, SILVER["sales_clean"]), sales(spark, sf_dir, since=SALES_SPLIT)
+    )
+    return sales_upsert_latest(stage(first), sales(spark, sf_dir, until=SALES_SPLIT))
+
+
+@query
+def merge_upsert_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves merged as one sorted pass over target and source, whatever their size."""
+    first = stage(ops.dedupe_latest(sales(spark, sf_dir, until=SALES_SPLIT), ["sale_id"]))
+    second = stage(ops.dedupe_latest(sales(spark, sf_dir, since=SALES_SPLIT), ["sale_id"]))
+    return ops.merge_sorted(first, second, ["sale_id"])
+
+
+@query
+def table_upsert_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves upserted into a table dealt by sale id: new keys appended, buckets with known ones rewritten."""
+    root = scratch_path(spark, "table-upsert")
+    lake = Lakehouse(spark, root, prefix="sales_" + root.rsplit("-", 1)[1], buckets=32)
+    lake.ensure_table("silver", "sales_clean", struct(SILVER["sales_clean"]), key="sale_id")
+    for period in ({"until": SALES_SPLIT}, {"since": SALES_SPLIT}):
+        newest = stage(ops.dedupe_latest(sales(spark, sf_dir, **period), ["sale_id"]))
+        ops.upsert_table(lake, "silver", "sales_clean", newest, ["sale_id"])
+    return lake.read_layer("silver", "sales_clean")
+
+
+@query
+def kept_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned till lines: those without an id, a quantity above 0 or a price are left out."""
+    return ops.clean_sales(feeds.returns_feed(spark, sf_dir))
+
+
+@query
+def kept_fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Till lines that the fact takes, which allows a quantity of 0."""
+    return valid_lines(feeds.returns_feed(spark, sf_dir)).select("sale_id", "product_id", "quantity", "unit_price", "mode")
+
+
+@query
+def kept_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest row per customer; rows without an id are left out."""
+    return ops.dedupe_latest(ops.clean_customer(feeds.unnamed_customers(spark, sf_dir)), ["customer_id"])
+
+
+@query
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows delivered and rejected by each rule."""
+    till, unnamed = feeds.returns_feed(spark, sf_dir), feeds.unnamed_customers(spark, sf_dir)
+    rules = {
+        "silver sales": (till, ops.clean_sales),
+        "fact lines": (till, valid_lines),
+        "customer keys": (unnamed, lambda rows: ops.dedupe_latest(ops.clean_customer(rows), ["customer_id"])),
+    }
+    both = {f"{n}, delivered": rows for n, (rows, _) in rules.items()} | {
+        f"{n}, kept": keep(rows) for n, (rows, keep) in rules.items()
+    }
+    return ops.layer_counts(both)
+
+
 @query
 def append_sales_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sales(spark, sf_dir)
@@ -437,16 +501,10 @@ def employee_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.layer_counts(
-        {
-            "raw.customer": feeds.customer_feed(spark, sf_dir),
-            "raw.sales_raw": feeds.sales_feed(spark, sf_dir),
-            "silver.sales_clean": ops.dedupe_latest(sales(spark, sf_dir), ["sale_id"]),
-            "silver.employee_clean_history": history(spark, sf_dir, 2),
-            "gold.dim_customer": dim_customer(spark, sf_dir),
-            "gold.dim_date": order_calendar(spark, sf_dir),
-        }
-    )
+    """Rows of all nineteen tables after a load of the whole feeds."""
+    lake = lakehouse(spark, sf_dir)
+    layers = (("raw", LANDING), ("silver", SILVER), ("gold", GOLD))
+    return ops.layer_counts({f"{layer}.{t}": lake.read_layer(layer, t) for layer, tables in layers for t in tables})
 
 
 # --- files, streams and tables ----------------------------------------------
@@ -612,10 +670,7 @@ def _landed(spark: SparkSession, sf_dir: str, sales: DataFrame) -> tuple[Lakehou
 @query
 def layers_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales delivered twice, loaded with default arguments: the fact has the corrected quantities."""
-    cents = (F.col("unit_price") * 100).cast("bigint").cast("string")
-    sales = feeds.sales_feed(spark, sf_dir).withColumn(
-        "sale_id", F.concat_ws("-", "sale_id", F.trim("product_id"), "store_id", cents)
-    )
+    sales = numbered_sales(spark, sf_dir)
     days = {"first_day": "1995-01-01", "last_day": "2001-12-31"}
     lake, landing = _landed(spark, sf_dir, sales)
     run_silver(lake)
@@ -628,6 +683,77 @@ def layers_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_layer("gold", "fact_sales")
 
 
+def numbered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales feed with ids that no two lines share."""
+    cents = (F.col("unit_price") * 100).cast("bigint").cast("string")
+    return feeds.sales_feed(spark, sf_dir).withColumn(
+        "sale_id", F.concat_ws("-", "sale_id", F.trim("product_id"), "store_id", cents)
+    )
+
+
+@query
+def layers_late_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer, product, store and time of returned sales corrected after silver and before gold ran.
+
+    The first gold run is later than the corrections arrived, but has not seen them.
+    """
+    days = {"first_day": "1995-01-01", "last_day": "2001-12-31"}
+    sales = numbered_sales(spark, sf_dir)
+    lake, landing = _landed(spark, sf_dir, sales)
+    run_silver(lake)
+    returned = sales.drop("source_file", "imported_date").filter(F.trim("mode") == "R")
+    corrected = returned.withColumns(
+        {
+            "customer_id": (F.col("store_id").cast("int") + 1).cast("string"),
+            "product_id": (F.col("store_id").cast("int") + 2).cast("string"),
+            "store_id": ((F.col("store_id").cast("int") + 1) % 25).cast("string"),
+            "sale_ts": F.col("sale_ts") + F.expr("INTERVAL 1 DAY"),
+        }
+    )
+    corrected.write.mode("append").option("header", True).csv(landing["sales_raw"])
+    run_bronze(lake, {"sales_raw": landing["sales_raw"]}, CORRECTION_TIME)
+    run_gold(lake, FIRST_LOAD, **days)
+    run_silver(lake)
+    run_gold(lake, SECOND_LOAD, **days)
+    return lake.read_layer("gold", "fact_sales")
+
+
+def evolved(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Two customer deliveries, the second with a column that the first lacks, each loaded into silver."""
+    root = scratch_path(spark, "evolved")
+    lake = Lakehouse(spark, root, prefix="evolved_" + root.rsplit("-", 1)[1])
+    deliveries = (
+        (feeds.customer_feed(spark, sf_dir, until=CUSTOMERS_SPLIT), INGEST_TIME, {}),
+        (
+            feeds.customer_feed(spark, sf_dir, since=CUSTOMERS_SPLIT),
+            CORRECTION_TIME,
+            {"customer": "district string"},
+        ),
+    )
+    landing = scratch_path(spark, "evolved-landing")
+    for rows, arrival, gained in deliveries:
+        rows = rows.drop("source_file", "imported_date")
+        if gained:
+            rows = rows.withColumn("district", F.concat(F.trim("city"), F.lit("/"), F.trim("gender")))
+        rows.write.mode("append").option("header", True).csv(landing)
+        run_bronze(lake, {"customer": landing}, arrival, new_columns=gained)
+        run_silver(lake)
+    return lake
+
+
+@query
+def raw_evolved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table has the gained column, NULL in rows of older files."""
+    raw = evolved(spark, sf_dir).read_layer("raw", "customer").drop("source_file")
+    return raw.withColumns({c: F.trim(c) for c, kind in raw.dtypes if kind == "string"})
+
+
+@query
+def silver_evolved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gained column passes through cleaning and widens the silver table."""
+    return evolved(spark, sf_dir).read_layer("silver", "customer_clean").drop("source_file")
+
+
 @query
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lakehouse(spark, sf_dir).read_layer("gold", "fact_sales")

@@ -16,6 +16,7 @@ from .merge import (
     append_rows,
     check_unique_source,
     insert_missing,
+    merge_sorted,
     merge_update,
     merge_upsert,
     new_keys,
@@ -28,5 +29,6 @@ from .scd import (
     scd2_changes,
     scd2_close,
 )
+from .table_merge import upsert_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]

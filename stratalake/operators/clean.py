@@ -15,7 +15,7 @@ from stratalake.functions import (
     norm_upper,
     parse_bool,
 )
-from stratalake.schemas import OPEN_DATE
+from stratalake.schemas import HIDDEN, OPEN_DATE
 
 Rule = Callable[[str], Column]
 
@@ -91,9 +91,13 @@ AUDIT_RULES: dict[str, Rule] = {"source_file": _keep, "imported_date": _keep}
 
 
 def apply_rules(rows: DataFrame, rules: dict[str, Rule]) -> DataFrame:
-    """One projection: every rule's column under its own name, audit columns last."""
+    """One projection: every rule's column under its own name, then the audit columns.
+
+    Columns that no rule knows come last, as they are: files may have gained them.
+    """
     both = {**rules, **AUDIT_RULES}
-    return rows.select(*(rule(name).alias(name) for name, rule in both.items()))
+    gained = [c for c in rows.columns if c not in both and not c.startswith(HIDDEN)]
+    return rows.select(*(rule(name).alias(name) for name, rule in both.items()), *gained)
 
 
 def clean_customer(bronze: DataFrame) -> DataFrame:

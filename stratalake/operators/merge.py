@@ -4,7 +4,9 @@ Stock Spark tables have no MERGE. An update is a left join of the target with
 the source and an insert is an anti join of the source with the target, so the
 target never needs a full outer join: when the source fits a broadcast the
 target is not shuffled at all, and otherwise adaptive execution may split a
-skewed target partition, which it cannot do below a full outer join.
+skewed target partition, which it cannot do below a full outer join. A target
+known to have one row per key has no skew to split: with a large source both
+are sorted once, together.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.sources.sizes import fits_broadcast
 
 _FROM_SOURCE = "__src_"
 _MATCHED = "__matched"
+_SIDE = "__side"
+_ALONE = "__alone"
 
 
 def _all_of(conditions: Sequence[Column]) -> Column:
@@ -127,6 +131,7 @@ def merge_upsert(
     keys: Sequence[str],
     check: bool = True,
     newer_by: Sequence[str] = (),
+    unique_target: bool = False,
 ) -> DataFrame:
     """Matched rows take every source column, unmatched source rows are added.
 
@@ -138,9 +143,55 @@ def merge_upsert(
     raises; pass ``check=False`` for a source that is unique by construction.
     The source is read for the update, the insert and the check: stage one that
     is expensive to compute.
+
+    A target with one row per key (``unique_target``) and a source too large to
+    broadcast are merged by one exchange of both, check included.
     """
+    if unique_target and not fits_broadcast(source):
+        return merge_sorted(target, source, keys, check, newer_by)
     added = _in_types_of(target, new_keys(target, source, keys))
     merged = append_rows(merge_update(target, source, keys, newer_by=newer_by), added)
     if not check:
         return merged
     return append_rows(merged, _in_types_of(target, check_unique_source(source, keys)))
+
+
+def merge_sorted(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool = True, newer_by: Sequence[str] = ()
+) -> DataFrame:
+    """``merge_upsert`` into a target with one row per key as one pass over both sides together, sorted by key, the source row first.
+
+    Each target row looks at the row before it and each source row at the one
+    after, so a key needs no more than its own two rows; a second row of one
+    side raises. A row with a NULL key is a group of its own.
+    """
+    usable = _all_of([F.col(k).isNotNull() for k in keys])
+    alone = F.when(~usable, F.monotonically_increasing_id())
+    sides = [
+        rows.withColumns({_SIDE: F.lit(side), _ALONE: alone})
+        for side, rows in enumerate((_in_types_of(target, source), target))
+    ]
+    both = sides[1].unionByName(sides[0], allowMissingColumns=True)
+    of_key = Window.partitionBy(*keys, _ALONE).orderBy(_SIDE)
+    side, from_target = F.col(_SIDE), F.col(_SIDE) == 1
+    before = F.lag(F.struct(_SIDE, *source.columns)).over(of_key)
+    seen = both.withColumns({_FROM_SOURCE: before, _MATCHED: F.lead(side).over(of_key)})
+    before = F.col(_FROM_SOURCE)
+    stays = from_target | F.col(_MATCHED).isNull()
+    if check:
+        text = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+        which = F.when(from_target, F.lit("target")).otherwise(F.lit("source"))
+        message = F.concat(
+            F.lit("merge "), which, F.lit(f" has more than one row for key ({', '.join(keys)}) = ("), text, F.lit(")")
+        )
+        stays = F.when(before[_SIDE] == side, F.raise_error(message).cast("boolean")).otherwise(stays)
+    taken = from_target & (before[_SIDE] == 0)
+    if newer_by:
+        taken = taken & (F.struct(*(before[c].alias(c) for c in newer_by)) >= F.struct(*newer_by))
+    columns = [*target.columns, *(c for c in source.columns if c not in target.columns)]
+    return seen.filter(stays).select(
+        *(
+            F.when(taken, before[c]).otherwise(F.col(c)).alias(c) if c in source.columns and c not in keys else F.col(c)
+            for c in columns
+        )
+    )

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.functions import hashdiff, norm_key, norm_title, sales_amounts
+from stratalake.functions import hashdiff, norm_key, norm_title
 from stratalake.operators.calendar import dim_date
 from stratalake.operators.clean import CUSTOMER_RULES
 from stratalake.operators.dedupe import dedupe_latest
-from stratalake.operators.facts import fact_sales
+from stratalake.operators.facts import fact_sales, source_hash, valid_lines
 from stratalake.operators.merge import append_rows
 from stratalake.operators.scd import scd1_apply, scd2_apply
+from stratalake.operators.table_merge import buckets_in
 from stratalake.plans.together import run_together
 from stratalake.schemas import (
+    BUCKET,
     CALENDAR_FIRST_DAY,
     CALENDAR_LAST_DAY,
+    LOAD,
     OPEN_CUSTOMER_TS,
     OPEN_EMPLOYEE_TS,
+    SOURCE_HASH,
 )
 from stratalake.sources.sizes import fits_broadcast
-from stratalake.sources.staging import stage
+from stratalake.sources.staging import stage, staged_for_load
 from stratalake.sources.tables import Lakehouse
 
 CUSTOMER_ATTRIBUTES = [c for c in CUSTOMER_RULES if c != "customer_id"]
@@ -127,14 +132,17 @@ def run_gold(
     first_day: str = CALENDAR_FIRST_DAY,
     last_day: str = CALENDAR_LAST_DAY,
     since: datetime | str | None = None,
+    full: bool = False,
 ) -> None:
     """Load all gold tables as of ``batch_ts``: the dimensions side by side, then the fact.
 
     A type 2 dimension without changes is not rewritten.
     ``fact`` is ``"new"`` (sales the fact does not have, or not as they are now:
-    a corrected sale replaces its fact row) or ``"append"`` (every run adds all
-    silver sales). With ``since`` only silver sales imported after that time are
-    looked at.
+    a corrected sale replaces its fact row, whatever was corrected and whenever
+    it arrived) or ``"append"`` (every run adds all silver sales). A new run
+    looks at the silver sales that a load wrote since the fact was last loaded
+    without a failure, with ``full`` at all of them, with ``since`` at those
+    imported after that time.
     """
     if fact not in ("new", "append"):
         raise ValueError(f"fact is 'new' or 'append', not {fact!r}")
@@ -166,46 +174,79 @@ def run_gold(
         lake.overwrite_table("gold", "dim_date", dim_date(lake.spark, first_day, last_day))
 
     type_1 = [partial(load_type_1, table, source) for table, (source, _, _, _) in TYPE_1.items()]
-    # Silver tables hold one row per key, so the loads need not check it.
-    run_together(lake.spark, [load_customer, load_employee, *type_1, load_date])
+    with staged_for_load(lake.spark):
+        # Silver tables hold one row per key, so the loads need not check it.
+        run_together(lake.spark, [load_customer, load_employee, *type_1, load_date])
+        _load_fact(lake, batch_ts, fact, since, full)
 
-    sales = silver("sales_clean")
+
+def _load_fact(lake: Lakehouse, batch_ts: datetime | str, fact: str, since: datetime | str | None, full: bool) -> None:
+    upto = lake.finished_load("silver", "sales_clean")
+    sales = lake.read_layer("silver", "sales_clean", hidden=True).withColumn(SOURCE_HASH, source_hash())
+    looked_at = sales
     if since is not None:
-        sales = stage(sales.filter(F.col("imported_date") > F.lit(since).cast("timestamp")), "new-sales")
-    if fact == "new":
-        ids = stage(changed_sales(gold("fact_sales"), sales).select("sale_id").distinct(), "changed-sales")
-        if ids.isEmpty():
+        looked_at = sales.filter(F.col("imported_date") > F.lit(since).cast("timestamp"))
+    elif fact == "new" and not full:
+        taken = lake.taken_load("gold", "fact_sales")
+        if upto <= taken:
             return
-        sales = silver("sales_clean").join(ids, "sale_id", "left_semi")
-    lines = fact_sales(
-        sales,
-        gold("dim_date"),
-        gold("dim_customer"),
-        gold("dim_employee"),
-        gold("dim_product"),
-        gold("dim_store"),
-        batch_ts,
-    )
-    if fact == "new" and not gold("fact_sales").join(ids, "sale_id", "left_semi").isEmpty():
-        kept = gold("fact_sales").join(ids, "sale_id", "left_anti")
-        lake.overwrite_table("gold", "fact_sales", append_rows(kept, lines))
+        looked_at = sales.filter(F.col(LOAD) > taken)
+
+    def lines(of: DataFrame) -> DataFrame:
+        dims = (lake.read_layer("gold", f"dim_{d}") for d in ("date", "customer", "employee", "product", "store"))
+        return fact_sales(of, *dims, batch_ts, carry=[SOURCE_HASH])
+
+    if fact == "append":
+        lake.append_rows("gold", "fact_sales", lines(looked_at))
     else:
-        lake.append_rows("gold", "fact_sales", lines)
+        _replace_changed(lake, sales, looked_at, lines)
+    if since is None:
+        lake.set_properties("gold", "fact_sales", source=upto)
+
+
+def _replace_changed(
+    lake: Lakehouse, sales: DataFrame, looked_at: DataFrame, lines: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Bring the fact up to the sales of ``looked_at`` that it does not have as they are.
+
+    Silver sales and fact are dealt by sale id alike, so only the buckets with a
+    changed sale are read, and only those with a row to replace are rewritten.
+    Should the run fail between the two writes, the next one finds the rest.
+    """
+    fact = lake.read_layer("gold", "fact_sales", hidden=True)
+    looked_at = stage(looked_at.select("sale_id", "quantity", "unit_price", SOURCE_HASH), "new-sales")
+    looked_at = lake.in_buckets("gold", "fact_sales", looked_at)
+    near = fact.filter(F.col(BUCKET).isin(buckets_in(looked_at)))
+    ids = stage(changed_sales(near, looked_at).select("sale_id", BUCKET).distinct(), "changed-sales")
+    touched = buckets_in(ids)
+    if not touched:
+        return
+    ids = ids.select("sale_id")
+    near = fact.filter(F.col(BUCKET).isin(touched))
+    own = lake.in_buckets("gold", "fact_sales", sales).filter(F.col(BUCKET).isin(touched))
+    # As far as the two tables have the same number of buckets, this keeps the scan to the touched ones.
+    if lake.dealt_by("silver", "sales_clean") == lake.dealt_by("gold", "fact_sales"):
+        own = sales.filter(F.col(BUCKET).isin(touched))
+    made = stage(
+        lake.in_buckets("gold", "fact_sales", lines(own.join(ids, "sale_id", "left_semi"))), "fact-lines"
+    )
+    replaced = buckets_in(near.join(ids, "sale_id", "left_semi"))
+    there = F.col(BUCKET).isin(replaced)
+    if replaced:
+        kept = near.filter(there).join(ids, "sale_id", "left_anti")
+        lake.replace_buckets("gold", "fact_sales", append_rows(kept, made.filter(there)), replaced)
+    if len(replaced) < len(touched):
+        lake.append_rows("gold", "fact_sales", made.filter(~there))
 
 
 def changed_sales(fact: DataFrame, sales: DataFrame) -> DataFrame:
-    """Sales without a fact row that was loaded after their arrival and has their quantity and amounts.
+    """Valid sales without a fact row that was made from their present values.
 
-    Keys are not compared: a row keeps the versions it was loaded with until the
-    sale itself arrives anew. A few sales first pick their own rows out of the fact.
+    Both sides have the hash of these values; the keys a fact row was loaded
+    with are not compared, as it keeps the versions it has until the sale itself
+    changes. A few sales first pick their own rows out of the fact.
     """
-    measures = {"quantity": F.col("quantity").cast("int"), **sales_amounts()}
-    columns = [F.col(c).alias(f"fact_{c}") for c in ("sale_id", "load_ts", *measures)]
-    known = fact.select(*columns)
+    known = fact.select("sale_id", SOURCE_HASH)
     if fits_broadcast(sales) and not fits_broadcast(known):
-        known = known.join(sales.select(F.col("sale_id").alias("fact_sale_id")), "fact_sale_id", "left_semi")
-    loaded_since = F.coalesce(F.col("imported_date") <= F.col("fact_load_ts"), F.lit(True))
-    same = (F.col("sale_id") == F.col("fact_sale_id")) & loaded_since
-    for name, measure in measures.items():
-        same = same & measure.eqNullSafe(F.col(f"fact_{name}"))
-    return sales.join(known, same, "left_anti")
+        known = known.join(sales.select("sale_id"), "sale_id", "left_semi")
+    return valid_lines(sales).join(known, ["sale_id", SOURCE_HASH], "left_anti")

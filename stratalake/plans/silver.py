@@ -19,8 +19,10 @@ from stratalake.operators.clean import (
 from stratalake.operators.dedupe import dedupe_latest
 from stratalake.operators.history import history_apply
 from stratalake.operators.merge import merge_upsert
+from stratalake.operators.table_merge import upsert_table
 from stratalake.plans.together import run_together
-from stratalake.sources.staging import stage
+from stratalake.schemas import LOAD
+from stratalake.sources.staging import stage, staged_for_load
 from stratalake.sources.tables import Lakehouse
 
 # Silver table -> bronze table, cleaning, business key; in load order.
@@ -54,54 +56,64 @@ def run_silver(
     sales: str = "upsert",
     since: datetime | str | None = None,
     derive_current: bool = False,
+    full: bool = False,
 ) -> None:
-    """Load all silver tables, side by side.
+    """Load all silver tables, side by side, from the bronze rows they have not taken in yet.
 
-    ``sales`` is ``"upsert"`` (the newest arrival of a sale stays, so a second
-    run changes nothing) or ``"append"`` (every run adds all its rows). With
-    ``since`` only bronze rows imported after that time are read. An upsert of
-    nothing but new keys is written as an append: finding that out reads one
-    column of the table instead of rewriting all of it.
+    What is new is known by the number of the bronze load that wrote a row, not
+    by its time, so a late or back-dated arrival is not missed. A table whose
+    source has nothing new is left alone, and a load that fails is made up for
+    by the next run. ``full`` takes all bronze rows, ``since`` those imported
+    after that time; neither changes what counts as taken in for a later run,
+    except that a full run counts as one.
+
+    ``sales`` is ``"upsert"`` (the newest arrival of a sale stays) or
+    ``"append"`` (every arrival is added, as often as it is taken).
     """
     if sales not in ("upsert", "append"):
         raise ValueError(f"sales is 'upsert' or 'append', not {sales!r}")
     lake.ensure_layers()
 
-    def bronze(entity: str) -> DataFrame:
-        rows = lake.read_layer("raw", entity)
-        return rows if since is None else rows.filter(F.col("imported_date") > F.lit(since).cast("timestamp"))
-
-    def load_entity(table: str, entity: str) -> None:
-        _, clean, key = ENTITIES[table]
-        _upsert(lake, table, dedupe_latest(clean(bronze(entity)), [key]), key)
-
-    def load_history() -> None:
-        versions = stage(clean_employee_history(bronze("employee")), "employee")
-        if versions.isEmpty():
-            return
-        history = lake.read_layer("silver", "employee_clean_history")
-        loaded = history_apply(history, versions, derive_current)
-        lake.overwrite_table("silver", "employee_clean_history", loaded)
-
-    def load_sales() -> None:
-        lines = clean_sales(bronze("sales_raw"))
-        if sales == "append":
-            lake.append_rows("silver", "sales_clean", lines)
-        else:
-            _upsert(lake, "sales_clean", dedupe_latest(lines, ["sale_id"]), "sale_id", ARRIVAL)
-
-    entities = [partial(load_entity, t, entity) for t, (entity, _, _) in ENTITIES.items()]
-    run_together(lake.spark, [*entities, load_history, load_sales])
-
-
-def _upsert(lake: Lakehouse, table: str, arrivals: DataFrame, key: str, newer_by: Sequence[str] = ()) -> None:
-    """Upsert rows that are unique on ``key``, rewriting the table only if it has one of the keys."""
-    newest = stage(arrivals, table)
-    if newest.isEmpty():
-        return
-    target = lake.read_layer("silver", table)
-    if target.select(key).join(newest.select(key), key, "left_semi").isEmpty():
-        lake.append_rows("silver", table, newest)
-    else:
-        merged = merge_upsert(target, newest, [key], check=False, newer_by=newer_by)
-        lake.overwrite_table("silver", table, merged)
+    def load(table: str, entity: str, write: Callable[[DataFrame, int], None]) -> None:
+        upto = lake.finished_load("raw", entity)
+        rows = lake.read_layer("raw", entity, hidden=True)
+        if since is not None:
+            rows = rows.filter(F.col("imported_date") > F.lit(since).cast("timestamp"))
+        elif not full:
+            taken = lake.taken_load("silver", table)
+            if upto <= taken:
+                return
+            rows = rows.filter(F.col(LOAD) > taken)
+        number = lake.begin_load("silver", table)
+        write(rows, number)
+        lake.end_load("silver", table, number, upto if since is None else None)
+
+    def upsert(table: str, clean: Callable[[DataFrame], DataFrame], key: str, newer_by: Sequence[str] = ()):
+        def write(rows: DataFrame, number: int) -> None:
+            newest = stage(_numbered(dedupe_latest(clean(rows), [key]), number), table)
+            upsert_table(lake, "silver", table, newest, [key], newer_by)
+
+        return write
+
+    def append_sales(rows: DataFrame, number: int) -> None:
+        lake.append_rows("silver", "sales_clean", _numbered(clean_sales(rows), number))
+
+    def load_history(rows: DataFrame, _: int) -> None:
+        versions = stage(clean_employee_history(rows), "employee")
+        if not versions.isEmpty():
+            history = lake.read_layer("silver", "employee_clean_history")
+            loaded = history_apply(history, versions, derive_current)
+            lake.overwrite_table("silver", "employee_clean_history", loaded)
+
+    write_sales = append_sales if sales == "append" else upsert("sales_clean", clean_sales, "sale_id", ARRIVAL)
+    loads = [partial(load, t, entity, upsert(t, clean, key)) for t, (entity, clean, key) in ENTITIES.items()]
+    loads += [
+        partial(load, "employee_clean_history", "employee", load_history),
+        partial(load, "sales_clean", "sales_raw", write_sales),
+    ]
+    with staged_for_load(lake.spark):
+        run_together(lake.spark, loads)
+
+
+def _numbered(rows: DataFrame, number: int) -> DataFrame:
+    return rows.withColumn(LOAD, F.lit(number).cast("bigint"))

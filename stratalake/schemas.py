@@ -74,6 +74,23 @@ GOLD = {
     ),
 }
 
+# Columns that tables keep for the loads; readers of a layer do not get them.
+HIDDEN = "_"
+LOAD = "_load"  # number of the load that last wrote the row
+BUCKET = "_bucket"  # partition: hash of the key
+SOURCE_HASH = "_source_hash"  # of the silver values a fact row was made from
+
+# Tables that are merged by key in place: dealt into buckets of it.
+BUCKET_KEYS = {
+    ("silver", "customer_clean"): "customer_id",
+    ("silver", "product_clean"): "product_id",
+    ("silver", "sales_clean"): "sale_id",
+    ("gold", "fact_sales"): "sale_id",
+}
+
+# Silver tables whose rows carry the number of their load.
+LOADED = ("customer_clean", "product_clean", "store_clean", "supplier_clean", "sales_clean")
+
 # Open-ended validity.
 OPEN_DATE = "9999-12-31"
 OPEN_CUSTOMER_TS = "9999-12-31 23:59:59"

@@ -1,6 +1,6 @@
 from .csv_files import read_csv_batch
 from .sizes import estimated_bytes, fits_broadcast
-from .staging import scratch_path, scratch_root, stage
+from .staging import scratch_path, scratch_root, stage, staged_for_load
 from .tables import Lakehouse
 
 __all__ = [
@@ -11,4 +11,5 @@ __all__ = [
     "scratch_path",
     "scratch_root",
     "stage",
+    "staged_for_load",
 ]

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.sources.files import delete_folder
+
 _local_folders: dict[str, str] = {}
+_of_load: ContextVar[list[str] | None] = ContextVar("staged_by_load", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,6 +38,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staged_for_load(spark: SparkSession) -> Iterator[None]:
+    """What is staged in this block, or in threads it starts with its context, goes when the block ends.
+
+    For loads that write their result: a frame made in the block cannot be read
+    after it. A block inside another leaves its tables to the outer one.
+    """
+    if _of_load.get() is not None:
+        yield
+        return
+    paths: list[str] = []
+    token = _of_load.set(paths)
+    try:
+        yield
+    finally:
+        _of_load.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def stage(rows: DataFrame, label: str = "staged") -> DataFrame:
     """Write ``rows`` once and read them back.
 
@@ -41,5 +67,8 @@ def stage(rows: DataFrame, label: str = "staged") -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_path(spark, label)
+    paths = _of_load.get()
+    if paths is not None:
+        paths.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

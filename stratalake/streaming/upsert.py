@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.dedupe import dedupe_latest
-from stratalake.operators.merge import merge_upsert
-from stratalake.sources.staging import stage
+from stratalake.operators.table_merge import upsert_table
+from stratalake.sources.staging import stage, staged_for_load
 from stratalake.sources.tables import Lakehouse
 
 
@@ -28,11 +28,12 @@ def start_stream_upsert(
 
     A row of the table that is newer than the batch's by ``newer_by`` stays, as
     arrival times may come from the data. Columns the table lacks do not decide.
+    A batch of new keys is appended; of a table dealt by key only the buckets
+    with a key of the batch are rewritten.
 
-    A batch may be offered again after a failure. Its snapshot is named after
-    the stream (by the id its checkpoint keeps) and the batch: if the table
-    already points there the batch is done, otherwise it starts over from the
-    previous snapshot, which is still in place.
+    A batch may be offered again after a failure. The table notes the last batch
+    of each stream (by the id its checkpoint keeps) when it is merged, and a
+    batch that was merged but not noted down changes nothing the second time.
     """
 
     @cache
@@ -40,14 +41,16 @@ def start_stream_upsert(
         return lake.spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        snapshot = f"stream-{stream_id()}-batch-{batch_id}"
-        if lake.location(layer, table).rstrip("/").endswith(f"/{snapshot}"):
+        here = Lakehouse(batch.sparkSession, lake.root, lake.prefix, lake.buckets)
+        noted = f"stream.{stream_id()}"
+        if int(here.properties(layer, table).get(noted, -1)) >= batch_id:
             return
-        newest = stage(dedupe_latest(clean(batch), keys), "stream-upsert")
-        target = newest.sparkSession.table(lake.name(layer, table))
-        decisive = [c for c in newer_by if c in target.columns and c in newest.columns]
-        merged = merge_upsert(target, newest, keys, check=False, newer_by=decisive)
-        lake.overwrite_table(layer, table, merged, snapshot)
+        with staged_for_load(here.spark):
+            newest = stage(dedupe_latest(clean(batch), keys), "stream-upsert")
+            columns = here.read_layer(layer, table).columns
+            decisive = [c for c in newer_by if c in columns and c in newest.columns]
+            upsert_table(here, layer, table, newest, keys, decisive)
+        here.set_properties(layer, table, **{noted: batch_id})
 
     return (
         arrivals.writeStream.foreachBatch(merge_batch)
