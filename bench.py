@@ -16,6 +16,8 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from checks import feeds, queries  # noqa: E402
 from checks.compare import session  # noqa: E402
 from stratalake import operators as ops  # noqa: E402
@@ -70,6 +72,15 @@ def main() -> None:
     timed("layer_silver_again", lambda: run_silver(lake))
     timed("layer_gold_again", lambda: run_gold(lake, queries.SECOND_LOAD, "new", "1995-01-01", "2001-12-31"))
 
+    # One order in a hundred is corrected.
+    few = feeds.sales_feed(spark, SF_DIR).filter(F.split("sale_id", "-")[0].cast("bigint") % 100 == 0)
+    few = few.drop("source_file", "imported_date").withColumn("quantity", F.col("quantity") + 1)
+    few.write.mode("append").option("header", True).csv(landing["sales_raw"])
+    sales_landing = {"sales_raw": landing["sales_raw"]}
+    timed("layer_bronze_1_percent", lambda: run_bronze(lake, sales_landing, queries.SECOND_LOAD))
+    timed("layer_silver_1_percent", lambda: run_silver(lake))
+    timed("layer_gold_1_percent", lambda: run_gold(lake, "2024-04-15 00:00:00", "new", "1995-01-01", "2001-12-31"))
+
     def bronze(entity: str):
         return lake.read_layer("raw", entity)
 
@@ -81,7 +92,7 @@ def main() -> None:
 
     later = "2024-05-01 00:00:00"
     timed("clean_sales", lambda: ops.clean_sales(bronze("sales_raw")))
-    timed("dedupe_latest_sales", lambda: ops.dedupe_latest(silver("sales_clean"), ["sale_id"]))
+    timed("dedupe_latest_sales", lambda: ops.dedupe_latest(ops.clean_sales(bronze("sales_raw")), ["sale_id"]))
     timed("dedupe_latest_product", lambda: ops.dedupe_latest(bronze("product"), ["product_id"]))
     for table, (entity, _, _) in {
         "customer_clean": ("customer", 0, 0),
@@ -96,6 +107,8 @@ def main() -> None:
     timed("silver_sales_upsert", lambda: sales_upsert_latest(silver("sales_clean"), ops.clean_sales(bronze("sales_raw"))))
     versions = stage(ops.clean_employee_history(bronze("employee")))
     timed("history_apply", lambda: ops.history_apply(silver("employee_clean_history"), versions))
+    some = stage(silver("employee_clean_history").orderBy("employee_id", "effective_from", "change_hash").limit(160))
+    timed("history_apply_160_rows", lambda: ops.history_apply(some, some))
     second = stage(queries.customers(spark, SF_DIR, 2))
     first = stage(queries.customers(spark, SF_DIR, 1))
     timed("merge_upsert_customer", lambda: ops.merge_upsert(first, second, ["customer_id"]))

@@ -197,7 +197,7 @@ def clean_sales(feed: str) -> str:
         discount_percent="CAST(discount_percent AS DOUBLE)",
         mode="lower(trim(mode))",
     )
-    return f"SELECT * FROM ({lines}) WHERE quantity > 0 AND unit_price >= 0"
+    return f"SELECT * FROM ({lines}) WHERE sale_id IS NOT NULL AND quantity > 0 AND unit_price >= 0"
 
 
 def latest(rows: str, key: str, ties: str, order: str = "imported_date DESC, source_file DESC") -> str:

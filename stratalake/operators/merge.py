@@ -166,9 +166,9 @@ def merge_sorted(
     side raises. A row with a NULL key is a group of its own.
     """
     usable = _all_of([F.col(k).isNotNull() for k in keys])
-    alone = F.when(~usable, F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id() * 2  # the same numbers on both sides, hence odd and even
     sides = [
-        rows.withColumns({_SIDE: F.lit(side), _ALONE: alone})
+        rows.withColumns({_SIDE: F.lit(side), _ALONE: F.when(~usable, row + side)})
         for side, rows in enumerate((_in_types_of(target, source), target))
     ]
     both = sides[1].unionByName(sides[0], allowMissingColumns=True)

@@ -196,7 +196,8 @@ def _load_fact(lake: Lakehouse, batch_ts: datetime | str, fact: str, since: date
         dims = (lake.read_layer("gold", f"dim_{d}") for d in ("date", "customer", "employee", "product", "store"))
         return fact_sales(of, *dims, batch_ts, carry=[SOURCE_HASH])
 
-    if fact == "append":
+    everything = since is None and lake.taken_load("gold", "fact_sales") == 0
+    if fact == "append" or everything and lake.read_layer("gold", "fact_sales").isEmpty():
         lake.append_rows("gold", "fact_sales", lines(looked_at))
     else:
         _replace_changed(lake, sales, looked_at, lines)
@@ -234,7 +235,8 @@ def _replace_changed(
     there = F.col(BUCKET).isin(replaced)
     if replaced:
         kept = near.filter(there).join(ids, "sale_id", "left_anti")
-        lake.replace_buckets("gold", "fact_sales", append_rows(kept, made.filter(there)), replaced)
+        few = fits_broadcast(ids)
+        lake.replace_buckets("gold", "fact_sales", append_rows(kept, made.filter(there)), replaced, gathered=few)
     if len(replaced) < len(touched):
         lake.append_rows("gold", "fact_sales", made.filter(~there))
 
