@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stratalake.llm.names import free_name
 from stratalake.llm.words import U64, line_table, mix
 from stratalake.llm.worker import slices, utf8
 from stratalake.sources import stage
@@ -103,16 +106,17 @@ def _rising(places: list[int]) -> list[int]:
     return out[::-1]
 
 
-def patience_matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+def patience_matches(a: list[int], b: list[int], anchors: Sequence[tuple[int, int]] = ()) -> list[tuple[int, int]]:
     """Places (in a, in b) of lines aligned by patience diff, rising in both.
 
-    Common lines at both ends are aligned; between them, lines that are unique in
+    ``anchors`` are places that begin a stretch each, rising in both. Common lines at both ends are aligned; between them, lines that are unique in
     both texts and in the same order are anchors, and what lies between anchors
     is treated alike. Where no line is unique, each line is aligned with the next
     equal one, as far as lines go on to be equal.
     """
     out: list[tuple[int, int]] = []
-    todo = [(0, len(a), 0, len(b))]
+    bounds = [(0, 0), *anchors, (len(a), len(b))]
+    todo = [(i, next_i, j, next_j) for (i, j), (next_i, next_j) in pairwise(bounds)]
     while todo:
         a0, a1, b0, b1 = todo.pop()
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
@@ -153,40 +157,6 @@ def patience_matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def shared_runs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each line of ``b`` the number of lines from it on that also stand together somewhere in ``a``.
-
-    Both texts' suffixes are ranked by doubling; the one of ``a`` that shares most
-    with one of ``b`` is the next before or after it.
-    """
-    both = np.unique(np.concatenate([a, b]), return_inverse=True)[1]
-    # Two marks that occur once end the texts, so no run goes on from one into the other.
-    both = np.concatenate([both[: len(a)] + 2, [0], both[len(a) :] + 2, [1]])
-    n = len(both)
-    ranks, width = [both], 1
-    while len(ranks) == 1 or ranks[-1].max() < n - 1:
-        after = np.zeros(n, np.int64)
-        after[:-width] = ranks[-1][width:] + 1
-        ranks.append(np.unique(ranks[-1] * (n + 3) + after, return_inverse=True)[1])
-        width *= 2
-    order = np.argsort(ranks[-1])
-    spot = np.arange(n)
-    of_a = order < len(a)
-    lengths = np.zeros(n, np.int64)
-    for near in (
-        np.maximum.accumulate(np.where(of_a, spot, -1)),
-        np.minimum.accumulate(np.where(of_a, spot, n)[::-1])[::-1],
-    ):
-        at = np.flatnonzero(~of_a & (near >= 0) & (near < n))
-        x, y = order[at], order[near[at]]
-        length = np.zeros(len(at), np.int64)
-        for k in range(len(ranks) - 2, -1, -1):
-            same = (ranks[k][x] == ranks[k][y]).astype(np.int64) << k
-            x, y, length = x + same, y + same, length + same
-        lengths[order[at]] = np.maximum(lengths[order[at]], length)
-    return lengths[len(a) + 1 : -1]
-
-
 def _may_go_on(a: list[int], b: list[int], words: list[int], cut: list[bool], min_words: int) -> bool:
     """Whether lines that stay lie in a stretch of ``min_words`` words all of whose lines are in ``a``."""
     known = set(a)
@@ -201,34 +171,115 @@ def _may_go_on(a: list[int], b: list[int], words: list[int], cut: list[bool], mi
     return False
 
 
-def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Spans of lines of ``b`` that stand together in ``a`` as well, of at least ``min_words`` words (those of ``b``).
+class Block(NamedTuple):
+    """``size`` lines that stand together from ``i`` on in one text and from ``j`` on in the other."""
+
+    i: int
+    j: int
+    size: int
+
+
+def seeded_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[Block]:
+    """All blocks that go on to where the texts differ, from the first line of a common run of ``min_words`` words.
 
-    First those of the alignment. It takes each line once and in order, so passages
-    that are repeated, swapped or outnumbered by short lines are not in it: the runs
-    that any line left is in follow, whatever place of ``a`` they are from. No line
-    with words stays that is in a common run of ``min_words`` words.
+    A run whose lines before it agree as well, back to one with words, belongs to
+    a block that began earlier.
     """
+    size = dict(zip(b, words, strict=True))
+    # A line that b lacks is in no common run; as it ends every run, what it counts does not matter.
+    sides = (a, [size.get(x, min_words) for x in a]), (b, words)
+    runs = []
+    for lines, counts in sides:
+        array, many = np.array(lines, np.int64), np.array(counts, np.int64)
+        hashes, begins = run_hashes(array, many, np.array([0, len(lines)]), min_words)
+        worded = np.maximum.accumulate(np.where(many > 0, np.arange(len(lines)), -1))
+        before = [worded[i - 1] if i else -1 for i in begins.tolist()]
+        led = [tuple(lines[p:i]) if p >= 0 else None for p, i in zip(before, begins.tolist(), strict=True)]
+        runs.append(list(zip(hashes.tolist(), begins.tolist(), led, strict=True)))
+    places: dict[int, dict[tuple | None, list[int]]] = {}
+    for run, i, led in runs[0]:
+        places.setdefault(run, {}).setdefault(led, []).append(i)
+    one, two = np.array(a, np.int64), np.array(b, np.int64)
+    blocks = []
+    for run, j, led in runs[1]:
+        for other, there in places.get(run, {}).items():
+            if led is None or other != led:
+                for i in there:
+                    longest = min(len(a) - i, len(b) - j)
+                    differ = np.flatnonzero(one[i : i + longest] != two[j : j + longest])
+                    blocks.append(Block(i, j, int(differ[0]) if len(differ) else longest))
+    return blocks
+
+
+def heaviest_chain(blocks: list[Block], weights: list[int]) -> list[Block]:
+    """Blocks that rise in both texts without overlap and weigh most together."""
+    ends = sorted({x.i + x.size for x in blocks})
+    best: list[tuple[int, int]] = [(0, -1)] * (len(ends) + 1)  # a tree of the heaviest chain that ends up to a place
+    total, before = [0] * len(blocks), [-1] * len(blocks)
+    waiting = sorted(range(len(blocks)), key=lambda k: blocks[k].j + blocks[k].size)
+    done = 0
+    for k in sorted(range(len(blocks)), key=lambda k: blocks[k].j):
+        while done < len(waiting) and blocks[waiting[done]].j + blocks[waiting[done]].size <= blocks[k].j:
+            ended = waiting[done]
+            at = bisect_left(ends, blocks[ended].i + blocks[ended].size) + 1
+            while at < len(best):
+                best[at] = max(best[at], (total[ended], ended))
+                at += at & -at
+            done += 1
+        at = bisect_right(ends, blocks[k].i)
+        found = (0, -1)
+        while at:
+            found = max(found, best[at])
+            at -= at & -at
+        total[k], before[k] = weights[k] + found[0], found[1]
+    chain, k = [], max(range(len(blocks)), key=total.__getitem__, default=-1)
+    while k >= 0:
+        chain.append(blocks[k])
+        k = before[k]
+    return chain[::-1]
+
+
+def _spans(matches: list[tuple[int, int]], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Stretches of aligned lines that stand together in both texts, of at least ``min_words`` words."""
     spans: list[tuple[int, int]] = []
     start = last = None
-    for pair in [*patience_matches(a, b), None]:
+    for pair in [*matches, None]:
         if last is not None and (pair is None or pair[0] != last[0] + 1 or pair[1] != last[1] + 1):
             if sum(words[start[1] : last[1] + 1]) >= min_words:
                 spans.append((start[1], last[1] + 1))
             start = None
         start, last = (start or pair), pair
+    return spans
+
+
+def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Spans of lines of ``b`` that stand together in ``a`` as well, of at least ``min_words`` words (those of ``b``).
+
+    Patience diff, again and again: an alignment takes each line once and in order,
+    so passages that are repeated, swapped or outnumbered by short lines need one
+    of their own. While a seeded run has a line that stays, the texts are aligned
+    anew from the blocks that weigh most, by the words that stay, and rise in both;
+    a place of ``a`` may serve several of ``b``. So no line with words stays that
+    is in a common run of ``min_words`` words.
+    """
+    spans = set(_spans(patience_matches(a, b), words, min_words))
     cut = [False] * len(b)
     for x, y in spans:
         cut[x:y] = [True] * (y - x)
     if not _may_go_on(a, b, words, cut, min_words):
-        return spans
-    staying = np.concatenate([[0], np.cumsum(~np.array(cut) & (np.array(words) > 0))])
-    up_to = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
-    first = np.arange(len(b))
-    after = first + shared_runs(np.array(a, np.int64), np.array(b, np.int64))
-    longest = after > np.concatenate([[0], np.maximum.accumulate(after)[:-1]])  # inside none that begins before
-    found = longest & (up_to[after] - up_to[first] >= min_words) & (staying[after] > staying[first])
-    return sorted({*spans, *zip(first[found].tolist(), after[found].tolist(), strict=True)})
+        return sorted(spans)
+    blocks = seeded_blocks(a, b, words, min_words)
+    while True:
+        staying = np.concatenate([[0], np.cumsum([0 if gone else w for gone, w in zip(cut, words, strict=True)])])
+        weights = [int(staying[x.j + x.size] - staying[x.j]) for x in blocks]
+        blocks = [x for x, w in zip(blocks, weights, strict=True) if w]
+        chain = heaviest_chain(blocks, [w for w in weights if w])
+        found = set(_spans(patience_matches(a, b, [(x.i, x.j) for x in chain]), words, min_words)) - spans
+        if not found:
+            return sorted(spans)
+        spans |= found
+        for x, y in found:
+            cut[x:y] = [True] * (y - x)
 
 
 SPANS = "doc_id long, doc_key long, spans array<struct<first int, after int>>, earlier long"
@@ -306,8 +357,8 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every document with the blocks deleted that an earlier document has.
 
     A block is a run of whole lines that stands in both documents, with at least
-    ``min_words`` words; where it is repeated or moved, every place of it goes. Earlier is the smaller doc_id (null is last; equal ids
-    by the hash of the text). Rows that repeat both id and text are one document
+    ``min_words`` words; where it is repeated or moved, every place of it goes.
+    Earlier is the smaller doc_id (null is last; equal ids by the hash of the text). Rows that repeat both id and text are one document
     and are cut alike. The earliest document keeps its lines, so every deleted
     line is still in another document. Shorter repeats, as a licence line or a
     heading, stay. Null texts stay null, and an empty table gives no rows. Other
@@ -317,28 +368,23 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``removed_spans`` (first line and the one after the last) and ``earlier_docs``,
     empty where nothing was deleted. Columns of these names are replaced.
     """
-    spans = stage(repeated_spans(documents, min_words), "line-spans").select(
-        F.col("doc_id").alias("cut_id"),
-        F.col("doc_key").alias("cut_key"),
-        F.col("spans").alias("cut_spans"),
-        F.col("earlier").alias("cut_earlier"),
-    )
+    cut = free_name(documents.columns, "cut")
+    found = stage(repeated_spans(documents, min_words), "line-spans")
+    found = found.select(F.struct("doc_id", "doc_key", "spans", "earlier").alias(cut))
     key = doc_key(F.col("doc_id"), F.col("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{cut}.doc_id")) & (key == F.col(f"{cut}.doc_key"))
     # The documents that lose lines grow with all: merged at any size, and never sent to all executors.
-    joined = documents.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("cut_id")) & (key == F.col("cut_key")), "left")
-    lines = F.split("text", "\n")
-    staying = F.filter(
-        lines, lambda _, i: ~F.exists("cut_spans", lambda s: (s["first"] <= i) & (i < s["after"]))
-    )
-    cut = F.col("cut_spans").isNotNull()
+    joined = documents.join(found.hint("merge"), same, "left")
+    lines, spans, loses = F.split("text", "\n"), F.col(f"{cut}.spans"), F.col(cut).isNotNull()
+    staying = F.filter(lines, lambda _, i: ~F.exists(spans, lambda s: (s["first"] <= i) & (i < s["after"])))
     no_spans = F.array().cast("array<struct<first:int,after:int>>")
     return joined.select(
         *(
-            F.when(cut, F.array_join(staying, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)
+            F.when(loses, F.array_join(staying, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)
             for c in documents.columns
             if c not in ADDED
         ),
-        F.when(cut, F.size(lines) - F.size(staying)).otherwise(0).alias("removed_lines"),
-        F.coalesce("cut_spans", no_spans).alias("removed_spans"),
-        F.coalesce("cut_earlier", F.array().cast("array<bigint>")).alias("earlier_docs"),
+        F.when(loses, F.size(lines) - F.size(staying)).otherwise(0).alias("removed_lines"),
+        F.coalesce(spans, no_spans).alias("removed_spans"),
+        F.coalesce(F.col(f"{cut}.earlier"), F.array().cast("array<bigint>")).alias("earlier_docs"),
     )

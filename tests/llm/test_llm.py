@@ -370,6 +370,69 @@ def test_repeated_and_swapped_passages_go():
         assert all(any(a[j : j + t - s] == b[s:t] for j in range(len(a))) and sum(words[s:t]) >= 50 for s, t in spans)
 
 
+def test_blocks_come_from_the_alignment(monkeypatch):
+    a, b, words = [1, 2, 3, 4], [3, 4, 1, 2, 9], [60, 60, 60, 60, 60]
+    assert line_dedup.common_blocks(a, b, words, 50) == [(0, 2), (2, 4)]
+    real = line_dedup.patience_matches
+    monkeypatch.setattr(line_dedup, "patience_matches", lambda a, b, anchors=(): [] if anchors else real(a, b))
+    assert len(line_dedup.common_blocks(a, b, words, 50)) == 1  # one alignment cannot hold both
+    monkeypatch.setattr(line_dedup, "patience_matches", lambda a, b, anchors=(): [])
+    assert line_dedup.common_blocks(a, b, words, 50) == []
+
+
+def test_heaviest_chain_rises_without_overlap():
+    block = line_dedup.Block
+    blocks = [block(0, 5, 2), block(5, 0, 4), block(2, 7, 3), block(1, 6, 9)]
+    assert line_dedup.heaviest_chain(blocks, [10, 25, 20, 1]) == [blocks[0], blocks[2]]
+    assert line_dedup.heaviest_chain([], []) == []
+
+
+def test_very_repetitive_texts_are_aligned_in_time():
+    a, b = [1, 0, 2, 0] * 1500, [0, 2, 0, 1] * 1500 + [3] + [1, 0] * 500
+    words = [{0: 0, 1: 30, 2: 30, 3: 60}[x] for x in b]
+    gone = {i for s in line_dedup.common_blocks(a, b, words, 50) for i in range(*s)}
+    assert {i for i in range(6000) if words[i]} <= gone and 6000 not in gone
+
+
+def test_clashing_names_and_repeats_of_line_dedup(spark):
+    frame = spark.createDataFrame(
+        [(1, f"a\n{PASSAGE}", 1, 2, 3, 4), (2, f"b\n{PASSAGE}", 5, 6, 7, 8), (None, None, 0, 0, 0, 0)],
+        "doc_id long, text string, cut int, cut_id int, cut_key int, spans int",
+    )
+    out = {r["doc_id"]: r for r in line_dedup.dedup_lines(frame).collect()}
+    assert out[2]["text"] == "b" and [out[2][c] for c in ("cut", "cut_id", "cut_key", "spans")] == [5, 6, 7, 8]
+    assert out[None]["text"] is None and out[1]["text"] == f"a\n{PASSAGE}"
+
+
+def test_archives_are_read_by_many_tasks(spark, given):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    root = scratch_path(spark, "warc-tasks")
+    manifest = warc.write_warc(warc.record_chunks(pages).repartition(6), root)
+    read = warc.read_warc(manifest, root, with_payload=False)
+    assert read.rdd.getNumPartitions() == manifest.count() >= 6
+
+
+def test_score_is_that_of_plain_python(spark, given):
+    import math
+
+    import zstandard
+
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = quality_classifier.fit_quality_model(given, labels)
+    press = [
+        zstandard.ZstdCompressor(
+            dict_data=zstandard.ZstdCompressionDict(d), level=3, write_checksum=False, write_content_size=False, write_dict_id=False
+        )
+        for d in (model.good, model.bad)
+    ]
+    texts = dict(texts_of(given))
+    for r in quality_classifier.classify_quality(given, model).collect():
+        raw = (texts[r["doc_id"]] or "").encode()
+        good, bad = (sum(len(p.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096)) for p in press)
+        gain = (bad - good) / (bad + good) if raw else 0.0
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(gain * model.slope + model.offset))), abs=1e-9)
+
+
 def test_no_run_of_an_earlier_document_stays(spark):
     p, q = PASSAGE, " ".join(f"term{k}" for k in range(70))
     texts = [f"w\n{p}\nx\n{p}\n{q}", f"u\n{q}\nv\n{p}\nz", f"{p}\nown\n{p}\n{q}\n{p}", f"h\nk\n{q}", f"{q}\nh\nk"]
