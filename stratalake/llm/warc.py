@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.sources import stage
 
 CHUNK = 1 << 16  # bytes of payload in a row, and of a file at a time
-SEGMENT = 8 << 20  # bytes of an archive that one reading task gets
+SEGMENT = 8 << 20  # bytes of an archive that are read in one piece
+TASK_BYTES = 128 << 20  # bytes of archives that a reading task gets at most, as far as segments allow
 REVISIT_FROM = 1000  # bytes from which equal payloads are stored once
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -46,9 +47,13 @@ def record_chunks(pages: DataFrame, revisit_from: int = REVISIT_FROM, chunk: int
         .filter("rows > 1 AND kept_id IS NOT NULL")
         .drop("rows")
     )
-    large = F.when(size >= revisit_from, F.col("digest"))
     revisit = F.col("kept_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept_id"))
-    marked = rows.join(kept, large == F.col("of_digest"), "left").select(
+    # Small payloads have nothing to look up and stay where they are.
+    small = rows.filter(size < revisit_from).withColumns(
+        {"of_digest": F.lit(None).cast("string"), "kept_id": F.lit(None).cast(rows.schema["page_id"].dataType)}
+    )
+    looked_up = rows.filter(size >= revisit_from).join(kept, F.col("digest") == F.col("of_digest"), "left")
+    marked = looked_up.unionByName(small).select(
         "page_id",
         "url",
         "digest",
@@ -280,9 +285,14 @@ def read_warc(manifest: DataFrame, root: str, chunk: int = CHUNK, with_payload:
     ``running_sha1`` and ``payload_bytes`` cover a record's chunks so far; the row
     marked ``last`` has those of the whole payload, which must have the digest in
     its header. For revisits both are of the payload referred to. A worker holds
-    a chunk and 256 rows. Stretches of archives are dealt out one by one.
+    a chunk and 256 rows. Segments are dealt out one by one to as many tasks as
+    their bytes need, and to all cores in any case; the number does not follow
+    from the size of the manifest, which is tiny.
     """
-    parts = manifest.repartition(F.col("file"), F.col("start"))
+    found = manifest.agg(F.count(F.lit(1)).alias("segments"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    tasks = min(found["segments"], max(4 * cores, -(-found["bytes"] // TASK_BYTES)))
+    parts = manifest.repartition(max(1, tasks))
     return parts.mapInArrow(_reader(root, chunk, with_payload), CHUNKS)
 
 
