@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from stratalake.llm.worker import kept
+from stratalake.sources import stage
 
 BLOCK = 4096  # bytes compressed at a time, each with the dictionary afresh: all of a long text counts
 LEVEL = 3
@@ -30,21 +31,16 @@ def _fold(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Two dictionaries, and what turns a size difference and how well the text packs into odds."""
+    """Two dictionaries, and what turns the difference of a text's sizes into odds."""
 
     good: bytes
     bad: bytes
     slope: float
-    packing: float
     offset: float
 
 
-def _sizes(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
-    """Per whole text (bad - good) / (bad + good) of its compressed sizes, and the lesser size by its own.
-
-    The second tells repetition, which both dictionaries pack alike. Both are 0
-    for an empty text.
-    """
+def _gains(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
+    """Per whole text (bad - good) / (bad + good) of its compressed sizes; 0 for an empty text."""
 
     def compressor(data: bytes) -> zstandard.ZstdCompressor:
         known = zstandard.ZstdCompressionDict(data)
@@ -55,26 +51,22 @@ def _sizes(texts: list[str], good: bytes, bad: bytes) -> np.ndarray:
 
     mark = hashlib.sha1(good + bad).hexdigest()
     press = kept(f"quality_{mark}", lambda: (compressor(good), compressor(bad)))
-    out = np.zeros((len(texts), 2))
+    out = np.zeros(len(texts))
     for k, text in enumerate(texts):
         if raw := text.encode():
             small, large = (sum(len(c.compress(raw[i : i + BLOCK])) for i in range(0, len(raw), BLOCK)) for c in press)
-            out[k] = (large - small) / (large + small), math.log(min(small, large) / len(raw))
+            out[k] = (large - small) / (large + small)
     return out
 
 
-def compressed_sizes(text: Column | str, good: bytes, bad: bytes) -> Column:
-    """A struct of ``gain``, the normalised difference of a text's sizes, and ``packed``, the log of its lesser share.
-
-    A null text counts as empty.
-    """
+def size_difference(text: Column | str, good: bytes, bad: bytes) -> Column:
+    """The normalised difference of a text's sizes by both dictionaries; a null text counts as empty."""
 
-    @arrow_udf("struct<gain double, packed double>")
-    def sizes(column: pa.Array) -> pa.Array:
-        found = _sizes(column.fill_null("").to_pylist(), good, bad)
-        return pa.StructArray.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["gain", "packed"])
+    @arrow_udf("double")
+    def gain(column: pa.Array) -> pa.Array:
+        return pa.array(_gains(column.fill_null("").to_pylist(), good, bad))
 
-    return sizes(text)
+    return gain(text)
 
 
 def _dictionary(samples: list[str], size: int) -> bytes:
@@ -86,16 +78,16 @@ def _dictionary(samples: list[str], size: int) -> bytes:
         return b"".join(raw)[-size:] or b"\0"
 
 
-def _calibrate(sizes: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> tuple[float, ...]:
-    """Slopes and offset of a weighted logistic regression of ``labels``, by Newton's method."""
+def _calibrate(gains: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic regression of ``labels``, by Newton's method."""
     if not len(labels) or labels.min() == labels.max():
-        return 0.0, 0.0, math.log((weights @ labels + 1) / (weights @ (1 - labels) + 1))
-    scale = np.array([10.0, 1.0, 1.0])
-    x = np.concatenate([sizes, np.ones((len(sizes), 1))], axis=1) * scale
-    w = np.zeros(3)
+        return 0.0, math.log((weights @ labels + 1) / (weights @ (1 - labels) + 1))
+    scale = np.array([10.0, 1.0])
+    x = np.stack([gains, np.ones(len(gains))], axis=1) * scale
+    w = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(3)
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
         step = np.linalg.solve(bend, x.T @ (weights * (p - labels)) + ridge * w)
         w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
@@ -129,8 +121,11 @@ def fit_quality_model(
         for tune in (False, True)
     ]
     chosen = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
-    # At most four times max_documents ids.
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # At most four times max_documents ids; their texts are looked up once.
+    texts = stage(
+        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id"),
+        "labelled-texts",
+    )
     blocks = texts.filter(~F.col("tune") & (F.col("text") != "")).select(
         "quality",
         F.explode(
@@ -147,23 +142,17 @@ def fit_quality_model(
     good, bad = dictionaries
     # Both labels are sampled alike, so each document stands for as many as its label has.
     shares = dict(usable.filter("tune").groupBy("quality").count().collect())
-    found = texts.filter("tune").select(compressed_sizes("text", good, bad).alias("s"), "quality").select("s.*", "quality")
-    rows = np.array(sorted(tuple(r) for r in found.collect()), float).reshape(-1, 3)
-    marks = rows[:, 2]
+    found = texts.filter("tune").select(size_difference("text", good, bad).alias("gain"), "quality")
+    rows = np.array(sorted(tuple(r) for r in found.collect()), float).reshape(-1, 2)
+    marks = rows[:, 1]
     weights = np.array([shares[int(m)] / (marks == m).sum() for m in marks])
-    return QualityModel(good, bad, *_calibrate(rows[:, :2], marks, weights))
+    return QualityModel(good, bad, *_calibrate(rows[:, 0], marks, weights))
 
 
 def quality_score(text: Column | str, model: QualityModel) -> Column:
     """From 0 to 1, the chance of label 1."""
-    sizes = compressed_sizes(text, model.good, model.bad)
-    return F.element_at(
-        F.transform(
-            F.array(sizes),
-            lambda s: 1 / (1 + F.exp(-(s["gain"] * model.slope + s["packed"] * model.packing + model.offset))),
-        ),
-        1,
-    )
+    gain = size_difference(text, model.good, model.bad)
+    return 1 / (1 + F.exp(-(gain * model.slope + model.offset)))
 
 
 def classify_quality(documents: DataFrame, model: QualityModel, cut: float = CUT) -> DataFrame:
