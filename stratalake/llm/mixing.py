@@ -65,7 +65,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeats: int) -
     )
 
 
-def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+def mix_sources(
+    documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeats: int = 3, key: Column | None = None
+) -> DataFrame:
     """How many times a mix of all words takes each document, so that sources meet their targets.
 
     Size is a document's number of words (null text: 0). Each source's documents
@@ -77,16 +79,19 @@ def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_re
     Repeated rows are places of their own, in any order among themselves. A null
     source is a source. Documents without words are taken with what precedes
     them, for no words. An empty table gives no rows. Other columns are not
-    looked at, so none can clash.
+    looked at, so none can clash. ``key`` tells rows of one id apart and is
+    returned as ``doc_key``.
 
     Columns: doc_id, source, size, source_size, target, repeats, taken.
     """
+    own = [] if key is None else ["doc_key"]
     base = stage(
         documents.select(
             "doc_id",
             "source",
             word_count(F.col("text")).alias("size"),
             F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("shuffle"),
+            *([] if key is None else [key.alias("doc_key")]),
         ),
         "mix-sizes",
     )
@@ -95,7 +100,7 @@ def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_re
         F.col("source").alias("of_source"), "source_no", "source_size", "target"
     )
     queued = base.join(targets, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    order = ["source_no", "shuffle", "doc_id", "size"]
+    order = ["source_no", "shuffle", "doc_id", "size", *own]
     queue = add_running(place_rows(queued, order, "mix-queue"), {"words": F.col("size")})
     # The queue runs through all sources in turn; what lies before a source is its sources' sizes.
     starts = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,6 +117,7 @@ def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_re
             "source_size",
             "target",
             "shuffle",
+            *own,
             (F.col("words") - F.col("words_before")).alias("words"),
         ),
         "mix-queued",
@@ -130,7 +136,7 @@ def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_re
     if last is None:
         return queue.select(
             "doc_id", "source", "size", "source_size", "target",
-            F.lit(0).alias("repeats"), F.lit(0).cast("bigint").alias("taken"),
+            F.lit(0).alias("repeats"), F.lit(0).cast("bigint").alias("taken"), *own,
         )
     end = F.struct(
         *(F.lit(last[c]).cast(t).alias(c) for c, t in dict(queue.dtypes, finish="double", turn="int").items() if c in finish)
@@ -149,6 +155,7 @@ def mix_sources(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), max_re
         "target",
         repeats.alias("repeats"),
         (F.col("size") * repeats).alias("taken"),
+        *own,
     )
 
 

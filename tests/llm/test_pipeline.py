@@ -52,3 +52,31 @@ def test_one_of_group_where_ids_are_null_or_repeated(spark, unrelated):
     nameless = [t for d, t in out if d is None]
     assert len(nameless) == 1 and nameless[0].startswith(base)
     assert sorted(r for r in out if r[0] is not None) == sorted({(1, "x " + clean), rows[5], *unrelated})
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, of_id int, of_key int, turn int, repeats int, plan int, copy int, cut int, removed_lines int"
+
+
+def odd_documents(spark, rows):
+    return spark.createDataFrame([(d, t, "en", s, 1, 2, 3, 9, 5, 6, 7, 8, 11) for d, t, s in rows], ODD)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None), (1, "", "a"), (2, None, "a"), (3, "some words of a text " * 20, "b")]])
+def test_stages_take_nulls_empty_tables_and_clashing_names(spark, rows):
+    docs = odd_documents(spark, rows)
+    for _, stage_of in pipeline.STAGES[1:-1]:
+        out = stage_of(spark, docs, SF_DIR)
+        assert out.columns == docs.columns
+        got = [r.asDict() for r in out.collect()]
+        assert all(r["turn"] == 9 and r["removed_lines"] == 11 and r["plan"] == 6 and r["copy"] == 7 for r in got)
+        if rows and stage_of is not pipeline.mix:
+            assert len(got) == len(rows)
+    assert pipeline.keep_quality(spark, docs, SF_DIR).columns == docs.columns
+    assert pipeline.encode(spark, docs, SF_DIR).count() == len(rows)
+
+
+def test_the_mix_takes_what_it_plans_for_texts_of_one_id(spark):
+    docs = odd_documents(spark, [(k % 3, f"text {k} " + "word " * (k % 4), "abc"[k % 2]) for k in range(30)])
+    sizes = pipeline.mix_sources(docs, pipeline.WEIGHTS, pipeline.MAX_REPEATS).agg({"taken": "sum"}).first()[0]
+    out = pipeline.mix(spark, docs, SF_DIR).collect()
+    assert sum(len(r["text"].split()) for r in out) == sizes
