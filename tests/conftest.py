@@ -16,6 +16,8 @@ from stratalake.sources import Lakehouse  # noqa: E402
 def spark():
     # Many short jobs: compiling each method twice costs more than it saves.
     spark = session("tests", "4", "-XX:TieredStopAtLevel=1")
+    # Nor does it pay to compile a plan for a few rows.
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
     yield spark
     spark.stop()
 
