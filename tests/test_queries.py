@@ -31,6 +31,13 @@ CHECKED = (
     "ingest_rerun",
     "stream_upsert_events",
     "layers_end_to_end",
+    "layers_late_correction",
+    "silver_evolved_customers",
+    "sales_upsert_late",
+    "merge_upsert_sorted",
+    "table_upsert_sales",
+    "kept_sales",
+    "rejected_rows",
 )
 
 
@@ -46,3 +53,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_agrees_with_sql(spark, duck, name):
     assert differences(name, QUERIES[name](spark, SF_DIR), duck) is None
+
+
+def test_every_rule_rejects_rows(spark):
+    counts = dict(QUERIES["rejected_rows"](spark, SF_DIR).collect())
+    for rule in ("silver sales", "fact lines", "customer keys"):
+        assert 0 < counts[f"{rule}, kept"] < counts[f"{rule}, delivered"]
