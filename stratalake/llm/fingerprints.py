@@ -127,27 +127,18 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shares = [k / parts for k in range(1, parts)] or [0.5]
     cuts = texts.agg(F.percentile_approx("doc_id", shares, 10 * parts)).first()[0] or []
-    part = _range_of(F.col("doc_id"), sorted(set(cuts)))
+    range_of = _range_of(sorted(set(cuts)))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    firsts = documents.select("doc_id").groupBy(part.alias("part")).agg(F.min(order).alias("first")).collect()
-    known = sorted((r["part"], r["first"]["doc_id"]) for r in firsts)
-    before = {known[k][0]: known[k - 1][0] for k in range(len(known))}
-    guest_of = F.lit(None).cast("int")
-    if known:
-        table = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
-        leaders = F.create_map(*(F.lit(x) for p, i in known if i is not None for x in (p, i))) if any(
-            i is not None for _, i in known
-        ) else None
-        leads = F.col("doc_id").isNull() if leaders is None else F.col("doc_id").eqNullSafe(F.get(F.array(leaders[F.col("part")]), F.lit(0)))
-        guest_of = F.when(leads, table[F.col("part")])
+    firsts = documents.select(range_of("doc_id").alias("part"), "doc_id").groupBy("part").agg(F.min(order).alias("first"))
+    known = sorted((r["part"], r["first"]["doc_id"]) for r in firsts.collect())
+    guest_of = _guest_range(known)
     no_guest = F.array(F.struct(F.col("part").alias("to"), F.lit(0).alias("guest")))
     both = F.array(
         F.struct(F.col("part").alias("to"), F.lit(0).alias("guest")),
-        F.struct(guest_of.alias("to"), F.lit(1).alias("guest")),
-    )
-    sent = texts.withColumn("part", part).select(
-        "doc_id", "text", F.explode(F.when(guest_of.isNotNull(), both).otherwise(no_guest)).alias("sent")
+        F.struct(F.col("before").alias("to"), F.lit(1).alias("guest")),
     )
+    ranged = texts.withColumn("part", range_of("doc_id")).withColumn("before", guest_of("doc_id", "part"))
+    sent = ranged.select("doc_id", "text", F.explode(F.when(F.col("before").isNotNull(), both).otherwise(no_guest)).alias("sent"))
     placed = sent.select("doc_id", "text", "sent.*").repartitionById(max(parts, 1), F.col("to"))
     return (
         placed.sortWithinPartitions("guest", F.col("doc_id").asc_nulls_last(), "text")
@@ -156,9 +147,29 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def _range_of(doc_id: Column, cuts: list[int]) -> Column:
-    """The number of ``cuts`` below; a null id lies above all."""
-    if not cuts:
-        return F.lit(0)
-    below = F.size(F.filter(F.array(*(F.lit(int(c)) for c in cuts)), lambda c: c < doc_id))
-    return F.when(doc_id.isNull(), len(cuts)).otherwise(below).cast("int")
+def _range_of(cuts: list[int]):
+    """The number of ``cuts`` below an id, by binary search; a null id lies above all."""
+    ordered = np.array(cuts, np.int64)
+
+    def run(doc_id: pa.Array) -> pa.Array:
+        part = np.searchsorted(ordered, doc_id.fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int32)
+        part[doc_id.is_null().to_numpy(zero_copy_only=False)] = len(ordered)
+        return pa.array(part)
+
+    return F.arrow_udf(run, "int")
+
+
+def _guest_range(known: list[tuple[int, int | None]]):
+    """The range before that of a row which is the first of its own; else null. ``known``: ranges and their first ids."""
+    size = known[-1][0] + 1 if known else 1
+    before, first, no_id = np.full(size, -1, np.int32), np.zeros(size, np.int64), np.zeros(size, bool)
+    for k, (part, doc_id) in enumerate(known):
+        before[part] = known[k - 1][0]
+        first[part], no_id[part] = doc_id or 0, doc_id is None
+
+    def run(doc_id: pa.Array, part: pa.Array) -> pa.Array:
+        at, none = part.to_numpy(zero_copy_only=False), doc_id.is_null().to_numpy(zero_copy_only=False)
+        leads = (doc_id.fill_null(0).to_numpy(zero_copy_only=False) == first[at]) & (none == no_id[at])
+        return pa.array(before[at], mask=~leads)
+
+    return F.arrow_udf(run, "int")
