@@ -11,7 +11,7 @@ from stratalake.sources import stage
 
 ALLOW, BLOCK = "allow", "block"
 GRAMS = (3, 4)
-BUCKETS = 4096
+BUCKETS = 1 << 14
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "://([^/?#]*)([^?#]*)"
 
@@ -32,6 +32,8 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     Among rules of the same length a block precedes, then the order of the text.
     The rules are part of the expression: keep them to a few thousand.
     """
+    if not rules:
+        return F.lit(None).cast("struct<length: int, verdict: string, rule: string>")
     fitting = F.array_compact(
         F.array(
             *(
@@ -87,12 +89,12 @@ def _block_odds(features: Column, weights: Sequence[float]) -> Column:
 
 
 def fit_url_model(
-    labelled: DataFrame, max_labelled: int = 5000, steps: int = 40, rate: float = 0.5, decay: float = 1e-4
+    labelled: DataFrame, max_labelled: int = 5000, steps: int = 40, rate: float = 0.5, decay: float = 0.02
 ) -> list[float]:
     """Weights of a logistic regression for ``label`` = block over ``url``, by adaptive gradient steps.
 
     Learns from at most ``max_labelled`` rows (those with the smallest hash); rows
-    without a label are left out. Each step is one aggregation over the labelled
+    without a label are left out; the two labels weigh the same. Each step is one aggregation over the labelled
     table; the driver holds the weights, one per bucket. With no row left, or one
     label only, all weights but the constant stay small and the verdict is that label.
     """
@@ -107,11 +109,14 @@ def fit_url_model(
         ),
         "url-labels",
     )
+    allowed, blocked = rows.agg(F.sum(1 - F.col("y")), F.sum("y")).first()
+    # Both labels weigh the same, however many rows either has.
+    weight = F.when(F.col("y") == 1, allowed / blocked).otherwise(1.0) if allowed and blocked else F.lit(1.0)
     weights, seen = [0.0] * (BUCKETS + 1), [1e-8] * (BUCKETS + 1)
     for _ in range(steps):
         chance = 1 / (1 + F.exp(-_block_odds(F.col("features"), weights)))
         slopes = (
-            rows.select("features", ((chance - F.col("y")) / F.sqrt(F.size("features"))).alias("miss"))
+            rows.select("features", (weight * (chance - F.col("y")) / F.sqrt(F.size("features"))).alias("miss"))
             .select(F.explode("features").alias("bucket"), "miss")
             .groupBy("bucket")
             .agg(F.sum("miss").alias("slope"))
@@ -154,36 +159,57 @@ def filter_urls(
     )
 
 
-# A small labelled table, made up: kinds of sites that corpus builders block or keep.
-_BLOCKED_NAMES = (
-    "spam-links", "link-farm", "spam-farms", "free-casino", "bet-now", "bets-online", "free-spins", "free-bet",
-    "win-cash", "adult-video", "adult-cam", "adult-xxx", "xxx-tube", "sexy-chat", "cheap-pills", "pill-shop",
-    "replica-watch", "payday-loans", "crypto-gift", "click-farm", "malware-host", "phish-login", "warez-crack",
-    "torrent-keygen", "poker-bonus",
+# Words of made-up sites, by the kinds that corpus builders block, and of those they keep.
+BLOCKED_WORDS = {
+    "gambling": "casino poker betting bets slots roulette jackpot bingo lottery wager blackjack sportsbook",
+    "adult": "adult porn xxx nude erotic escort camgirl fetish hookup sexy milf webcam",
+    "pharmacy": "pills viagra cialis steroid pharma tramadol xanax slimming dosage kratom",
+    "advertising": "ads adserver banner tracker tracking popup clicks affiliate retarget adnetwork pixel",
+    "link farms": "spam linkfarm backlink seolinks doorway spammy linkswap autoblog",
+    "fraud": "phishing giveaway prizewin payday quickloan doubler ponzi airdrop winner richquick",
+    "malware": "malware keygen crack warez trojan torrent nulled botnet stealer ransom",
+    "counterfeits": "replica fakewatch knockoff counterfeit diploma-mill",
+}
+ALLOWED_WORDS = {
+    "learning": "library university school college museum archive lecture science physics botany algebra grammar",
+    "public life": "council parliament hospital charity embassy ministry court firestation township census",
+    "press": "herald gazette tribune journal magazine newsroom editorial weekly chronicle reporter",
+    "home": "recipes garden kitchen knitting furniture family baking carpentry pottery cottage",
+    "outdoors": "mountain river forest cycling sailing hiking valley island meadow lake",
+    "culture": "orchestra theatre cinema poetry novels gallery history opera folklore painting",
+    "work": "software engineering docs forum logistics accounting bakery bookshop printing surveyor",
+    "names": "anderson whitfield morgan oakley bennett sinclair rossi keller novak laurent",
+}
+# Around the words of both kinds, so that none of this tells them apart.
+_HOSTS = (
+    "{0}.example", "www.{0}-{1}.com", "{0}{1}.net", "www.best-{0}.org", "my{0}.invalid",
+    "the-{0}-site.org", "www.{0}4you.com", "online-{0}.net", "free-{0}-{1}.test", "m.{0}.test",
 )
-_ALLOWED_NAMES = (
-    "library", "university", "blog", "recipes", "gardening", "science-news", "museum", "history", "weather",
-    "city-council", "docs", "forum", "school", "travel-notes", "orchestra", "hospital", "books", "chess-club",
-    "research", "daily-herald", "wiki", "mountain-guide", "thistle", "northern", "harbour", "station", "brother",
-    "clothing", "weaver", "lantern", "heather", "shoreline", "together", "nation", "other-thing", "threshold",
-    "anderson", "hers-and-his", "the-hill", "thinly",
-)
-_PLACES = (
-    ("www.{}.example.org", "/en/{}"),
-    ("{}.example.net", "/fr/{}.html"),
-    ("m.{}.example.com", "/de/{}/"),
-    ("blog.{}.example.org", "/es/{}"),
-)
+_PATHS = ("", "/", "/index.html", "/a/{0}.html", "/pages/{0}")
+# Names of two syllables, of which nothing is known: they are kept, so that only what speaks for a block blocks.
+_ONSETS, _VOWELS, _CODAS = "b br c ch d f fl g gr h j k l m n p pr r s sh st t th tr v w".split(), "aeiou", "n r l s t nd ng ck m th".split()
+UNKNOWN_NAMES = 200
+
+
+def _syllables(k: int) -> str:
+    """The ``k``-th name: steps prime to the numbers of parts go through all of them evenly."""
+    first = _ONSETS[k % 26] + _VOWELS[k % 5] + _CODAS[k * 3 % 10]
+    return first + _ONSETS[k * 7 // 5 % 26] + _VOWELS[k * 3 // 7 % 5] + _CODAS[k * 7 // 3 % 10]
 
 
 def sample_url_labels(spark: SparkSession) -> DataFrame:
-    """The made-up labelled table: url, label."""
-    rows = [
-        F.struct(
-            F.lit(f"https://{host.format(name)}{path.format(17 * k + 3)}").alias("url"), F.lit(label).alias("label")
-        )
-        for label, names in ((BLOCK, _BLOCKED_NAMES), (ALLOW, _ALLOWED_NAMES))
-        for k, name in enumerate(names)
-        for host, path in _PLACES
+    """The made-up labelled table: url, label. Each word is put into every shape of host, next to others of its kind."""
+    kinds = [(BLOCK, row.split()) for row in BLOCKED_WORDS.values()] + [(ALLOW, row.split()) for row in ALLOWED_WORDS.values()]
+    kinds.append((ALLOW, [_syllables(k) for k in range(UNKNOWN_NAMES)]))
+    words = [
+        F.struct(F.lit(label).alias("label"), F.lit(word).alias("word"), F.lit(other).alias("other"), F.lit(k).alias("k"))
+        for label, row in kinds
+        for k, (word, other) in enumerate(zip(row, row[1:] + row[:1], strict=True))
     ]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+    shapes = F.array(*(F.lit(h) for h in _HOSTS))
+    paths = F.array(*(F.lit(p) for p in _PATHS))
+    rows = spark.range(1).select(F.explode(F.array(*words)).alias("w")).select("w.*", F.posexplode(shapes).alias("n", "host"))
+    number = F.col("k") * 10 + F.col("n")
+    host = F.replace(F.replace("host", F.lit("{0}"), F.col("word")), F.lit("{1}"), F.col("other"))
+    path = F.replace(F.element_at(paths, number % len(_PATHS) + 1), F.lit("{0}"), number.cast("string"))
+    return rows.select(F.concat(F.lit("https://"), host, path).alias("url"), "label")
