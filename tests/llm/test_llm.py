@@ -12,6 +12,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from checks.compare import _bag, tables
@@ -516,6 +517,63 @@ def test_robust_estimates_are_those_of_numpy(spark):
     assert (d2[400:] > quality_rules.LIMIT).all() and (d2[:400] > quality_rules.LIMIT).mean() < 0.01
 
 
+def _plain_distances(points, share=0.75, steps=4):
+    """Minimum covariance determinant distances of one group, row by row in numpy."""
+    names = list(quality_rules.NAMES)
+    spread = np.diag([quality_rules.SPREAD[n] ** 2 for n in names])
+
+    def moments(rows):
+        mean = rows.mean(axis=0)
+        return mean, (rows - mean).T @ (rows - mean) / len(rows) + spread
+
+    def distances(estimate):
+        apart = points - estimate[0]
+        return np.einsum("ij,jk,ik->i", apart, np.linalg.inv(estimate[1]), apart)
+
+    def step_of(d2):
+        return np.floor(np.log2(d2 + 1e-6) * 32)
+
+    def limit(d2, part):
+        return np.sort(step_of(d2))[int(np.ceil(part * len(d2) - 1e-9)) - 1]
+
+    middle = np.sort(points, axis=0)[(len(points) + 1) // 2 - 1]
+    ends = []
+    for estimate in (moments(points), (middle, spread)):
+        for _ in range(steps):
+            d2 = distances(estimate)
+            estimate = moments(points[step_of(d2) <= limit(d2, share)])
+        ends.append(estimate)
+    d2 = distances(min(ends, key=lambda e: np.linalg.det(e[1])))
+    return d2 / max(1.0, 2 ** ((limit(d2, 0.5) + 1) / 32) / quality_rules.MIDDLE)
+
+
+def test_kept_is_that_of_numpy(spark, given):
+    out = {r["doc_id"]: r for r in quality_rules.quality_rules(given, min_group=1).collect()}
+    groups = {}
+    for r in given.collect():
+        if not (o := out[r["doc_id"]])["base_failed"]:
+            lines = [x for x in r["text"].split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+            upper, words, chars = len(regex.findall(r"\p{Lu}", r["text"])), o["n_words"], o["word_chars"]
+            point = (
+                (chars + 250) / (words + 50),
+                o["n_symbols"] / (o["n_symbols"] + words + 10),
+                upper / (chars + 40),
+                o["n_dup_lines"] / (len(lines) + 5),
+                o["n_repeat_words"] / (words + 10),
+            )
+            groups.setdefault((r["lang"], r["source"]), []).append((r["doc_id"], point))
+        else:
+            assert not o["kept"] and o["distance"] is None
+    judged = 0
+    for rows in groups.values():
+        found = _plain_distances(np.array([p for _, p in rows]))
+        for (doc_id, _), d2 in zip(rows, found, strict=True):
+            assert out[doc_id]["distance"] == pytest.approx(d2, rel=1e-3, abs=1e-6)
+            assert out[doc_id]["kept"] == (d2 <= quality_rules.LIMIT) or abs(d2 / quality_rules.LIMIT - 1) < 1e-3
+            judged += 1
+    assert judged > 50
+
+
 def test_quality_classifier(spark, odd, none):
     sf_dir = SF_DIR.replace("sf0.001", "sf0.01")
     if not os.path.isdir(sf_dir):
