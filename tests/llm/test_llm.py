@@ -276,7 +276,7 @@ def test_urls(spark, none):
     assert set(nothing) == {0.0}
 
 
-def test_urls_of_families_the_table_does_not_name(spark):
+def test_urls_of_hosts_the_table_does_not_hold(spark):
     blocked = """royal-casino-vip lucky-roulette24 hot-escorts nude-pics adult-store cheap-viagra pills-express adtracker
         ads-deliver banner-exchange spam-network backlink-shop phishing-kit payday-now cracked-warez torrentz-hub replica-bags
         gambling-den cannabis-store sugar-dating keygens-vault clickbait-hq slotsmania betsports pornhouse"""
