@@ -594,4 +594,4 @@ def test_queries_are_registered():
     import __spark_entry__
 
     assert set(QUERIES) < set(__spark_entry__.queries()) and "pipeline" in __spark_entry__.queries()
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
