@@ -20,6 +20,7 @@ SLOTS = 4  # smallest hashes; sets that share two of them can form a group
 MORE = 16  # one more token in common is asked for, per so many tokens of a set
 SKETCH_BITS, CHUNK_BITS = 20, 10
 BLOCK_TOKENS, BLOCK_SETS, VISITORS = 200_000, 512, 4096
+GUIDES, CROWD = 8, 64  # sets that visit all blocks of a crowd; sets that make one
 _SEEDS = [0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89]
 
 
@@ -154,40 +155,49 @@ def _prefixes(levels: bytes, percent: int):
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different blocks with sizes that allow a link, and how many tokens they have in common.
+    """Pairs of blocks with sizes that allow a link, and how many tokens they have in common.
 
-    Rows come sorted by token and block. The lowest byte of a block is the class
-    of its sets' sizes; sets two classes apart are too unlike in size.
+    Rows come sorted by token, component and block; blocks of one component make
+    no pair. The lowest byte of a block is the class of its sets' sizes; sets two
+    classes apart are too unlike in size.
     """
-    rest_t, rest_b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rest = [np.zeros(0, np.int64)] * 3
 
-    def pairs(token: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(token: np.ndarray, part: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(token):
+            return
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (block[1:] != block[:-1])
-        token, block = token[new], block[new]
-        step = 1
-        while True:  # partners one row on, two rows on, ... while any token has so many blocks
-            same = np.flatnonzero(token[step:] == token[:-step]) if step < len(token) else np.zeros(0, np.int64)
-            if not len(same):
+        token, part, block = token[new], part[new], block[new]
+        other_token = np.flatnonzero(np.append(token[1:] != token[:-1], True)) + 1
+        other_part = np.flatnonzero(np.append((token[1:] != token[:-1]) | (part[1:] != part[:-1]), True)) + 1
+        row = np.arange(len(token))
+        end = other_token[np.searchsorted(other_token, row, "right")]
+        partner = other_part[np.searchsorted(other_part, row, "right")]  # the first of another component
+        while True:  # the next partner of each row, until no token has one more
+            left = partner < end
+            row, end, partner = row[left], end[left], partner[left]
+            if not len(row):
                 break
-            left, right = block[same], block[same + step]
-            fits = np.abs((left & 255) - (right & 255)) <= 1
+            one, two = block[row], block[partner]
+            fits = np.abs((one & 255) - (two & 255)) <= 1
             if fits.any():
-                made = np.stack([left[fits], right[fits]], axis=1).view([("a", np.int64), ("b", np.int64)]).ravel()
-                made, shared = np.unique(made, return_counts=True)
+                one, two = one[fits], two[fits]
+                made = np.stack([np.minimum(one, two), np.maximum(one, two)], axis=1)
+                made, shared = np.unique(made.view([("a", np.int64), ("b", np.int64)]).ravel(), return_counts=True)
                 columns = [pa.array(np.ascontiguousarray(made[c])) for c in ("a", "b")]
                 yield pa.record_batch([*columns, pa.array(shared)], ["a", "b", "shared"])
-            step += 1
+            partner = partner + 1
 
     for batch in batches:
-        token = np.concatenate([rest_t, batch.column("token").to_numpy()])
-        block = np.concatenate([rest_b, batch.column("block").to_numpy()])
-        if not len(token):
+        columns = [batch.column(c).to_numpy() for c in ("token", "part", "block")]
+        columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
+        if not len(columns[0]):
             continue
-        whole = int(np.searchsorted(token, token[-1]))  # the last token may go on in the next batch
-        yield from pairs(token[:whole], block[:whole])
-        rest_t, rest_b = token[whole:], block[whole:]
-    yield from pairs(rest_t, rest_b)
+        whole = int(np.searchsorted(columns[0], columns[0][-1]))  # the last token may go on in the next batch
+        yield from pairs(*(c[:whole] for c in columns))
+        rest = [c[whole:] for c in columns]
+    yield from pairs(*rest)
 
 
 SETS = "set_key long, moves array<struct<target long, parts int, visits int>>, tokens binary"
@@ -243,7 +253,9 @@ def _links(percent: int):
         place = block = None
         keys: list[int] = []
         sets: list[np.ndarray] = []
+        known: set[int] = set()
         parent: dict[int, int] = {}
+        within = False
         found_u: list[int] = []
         found_v: list[int] = []
 
@@ -265,7 +277,7 @@ def _links(percent: int):
             """All rows of the block itself have come."""
             nonlocal block
             block = _Block(keys, sets, percent)
-            if place[1] == 0:
+            if within and place[1] == 0:
                 for k, (key, tokens) in enumerate(zip(keys, sets, strict=True)):
                     join(key, [keys[i] for i in block.linked(tokens).tolist() if i < k])
 
@@ -282,10 +294,12 @@ def _links(percent: int):
                     if place is not None and block is None:
                         close()
                     place, block = (target, part), None
-                    keys, sets, parent = [], [], {}
+                    keys, sets, known, parent = [], [], set(), {}
                 tokens = np.frombuffer(raw, U64)
-                if not visits:
-                    if key not in keys:
+                if visits < 1:
+                    within = visits == 0
+                    if key not in known:
+                        known.add(key)
                         keys.append(key)
                         sets.append(tokens)
                     continue
@@ -315,11 +329,17 @@ def jaccard_components(documents: DataFrame, percent: int = PERCENT) -> DataFram
        tokens over all sets show which tokens are common.
     2. Sets of like size that share two smallest hashes (of four; the two that most
        sets share) form a group; large groups are dealt into blocks.
-    3. The token-block matrix holds, for each block, the union of its sets' rarest
+    3. The sets of a block are compared with one another, and with a few guides: sets
+       that visit every block in which their smallest hashes are found too, if many
+       have them. This joins most near copies, and takes a number of visits that
+       grows as the number of blocks. Groups are then dealt anew: what is joined
+       already lies in blocks of its own, apart from the rest.
+    4. The token-block matrix holds, for each block, the union of its sets' rarest
        tokens, so many that linked sets have a sixteenth of their size in common.
-    4. Blocks with so many tokens in common are candidates. There the sets of one
-       visit the other: the overlap of a set with the block's token union bounds its
-       overlap with any member, and only if that is enough is the block opened.
+       Blocks with so many tokens in common are candidates, unless all their sets
+       are joined already. The sets of the smaller visit the other: the overlap of a
+       set with the block's token union bounds its overlap with any member, and only
+       if that is enough is the block opened.
     5. What is linked in a task leaves it as a spanning set of links, and the
        links of all are joined to components. Links found within a component
        already joined are not repeated; no link between components is lost.
@@ -352,9 +372,13 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         "distinct-sets",
     )
     blocks = stage(_blocks(vertices, percent), "set-blocks")
-    pairs = stage(_candidates(texts, blocks, levels, percent), "block-pairs")
-    edges = _verified(texts, blocks, pairs, percent)
-    parts = stage(connected_components(edges), "set-components")
+    several = blocks.groupBy("block").count().filter("count > 1").select(F.col("block").alias("target"))
+    near = stage(connected_components(_verified(texts, blocks, several, _guides(blocks), percent)), "near-sets")
+    piles = stage(_piles(blocks, near), "set-piles")
+    pairs = stage(_candidates(texts, piles, levels, percent), "block-pairs")
+    unmet = piles.filter("mixed and split").select(F.col("block").alias("target")).distinct()
+    edges = _verified(texts, piles, unmet, _visitors(piles, pairs), percent)
+    parts = stage(connected_components(edges.union(near.select("node", "root"))), "set-components")
     tied = vertices.join(parts, F.col("set_key") == F.col("node"), "left").select(
         "set_key", "rep", "rep_key", F.coalesce("root", "set_key").alias("root")
     )
@@ -371,8 +395,14 @@ def jaccard_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _dealt(rows: str, tokens: str) -> Column:
+    """Into how many blocks sets are dealt."""
+    most = F.greatest(F.ceil(F.col(tokens) / BLOCK_TOKENS), F.ceil(F.col(rows) / BLOCK_SETS), F.lit(1))
+    return most.cast("bigint")
+
+
 def _blocks(vertices: DataFrame, percent: int) -> DataFrame:
-    """The block of each distinct set; its lowest byte is the class of the set's size."""
+    """Group and block of each distinct set; a block's lowest byte is the class of its sets' sizes."""
     # Linked sets' sizes differ by a factor of 100 / percent at most: the same or neighbouring classes.
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("bigint")
     lows = vertices.select("set_key", "n", size_class.alias("class"), F.posexplode("lows").alias("slot", "low"))
@@ -385,16 +415,72 @@ def _blocks(vertices: DataFrame, percent: int) -> DataFrame:
         .agg(F.max(F.struct("rows", "tokens", "slot", "low")).alias("best"))
     )
     alone = F.xxhash64(F.lit("alone"), "set_key")
-    dealt = F.greatest(F.ceil(F.col("best.tokens") / BLOCK_TOKENS), F.ceil(F.col("best.rows") / BLOCK_SETS))
-    part = F.pmod(F.xxhash64("set_key"), F.greatest(dealt, F.lit(1)).cast("bigint"))
-    grouped = F.xxhash64("best.slot", "best.low", part, size_class)
-    block = F.when(F.col("best").isNull(), alone).otherwise(grouped)
-    return vertices.join(chosen, "set_key", "left").select(
+    single = F.col("best").isNull()
+    dealt = F.when(single, 1).otherwise(_dealt("best.rows", "best.tokens"))
+    placed = vertices.join(chosen, "set_key", "left").select(
         "set_key",
         "rep",
         "rep_key",
         "n",
-        F.shiftleft(block, 8).bitwiseOR(_class_byte(size_class)).alias("block"),
+        "lows",
+        F.when(single, alone).otherwise(F.xxhash64("best.slot", "best.low", size_class)).alias("grp"),
+        dealt.alias("dealt"),
+        _class_byte(size_class).alias("size_class"),
+    )
+    part = F.pmod(F.xxhash64("set_key"), F.col("dealt"))
+    return placed.select(
+        "set_key", "rep", "rep_key", "n", "lows", "grp", "size_class", (F.col("dealt") > 1).alias("split"),
+        _block(F.xxhash64("grp", part)).alias("block"),
+    )
+
+
+def _block(name: Column) -> Column:
+    return F.shiftleft(name, 8).bitwiseOR(F.col("size_class"))
+
+
+def _guides(blocks: DataFrame) -> DataFrame:
+    """Which blocks (``target``) which sets visit first.
+
+    Of all sets with the same two smallest hashes, if they are a crowd, at most
+    ``GUIDES`` visit the blocks that hold one of them. They are chosen by hash, in
+    an aggregate that is combined before the exchange, so no crowd meets in a task.
+    """
+    lows = blocks.select("set_key", "block", "size_class", F.posexplode("lows").alias("slot", "low"))
+    turn = F.pmod(F.xxhash64("set_key"), F.lit(GUIDES))
+    least = lows.groupBy("slot", "low", turn.alias("turn")).agg(
+        F.min(F.struct("set_key", "block", "size_class")).alias("guide"), F.count(F.lit(1)).alias("rows")
+    )
+    crowds = least.groupBy("slot", "low").agg(F.collect_list("guide").alias("guides"), F.sum("rows").alias("rows"))
+    crowds = crowds.filter(F.col("rows") >= CROWD).drop("rows")
+    found = lows.groupBy("slot", "low", "block", "size_class").agg(F.count(F.lit(1)).alias("sets"))
+    met = found.join(crowds, ["slot", "low"]).select(F.col("block").alias("target"), "size_class", F.explode("guides").alias("guide"))
+    other = F.col("guide.block") != F.col("target")
+    fits = F.abs(F.col("guide.size_class") - F.col("size_class")) <= 1
+    return met.filter(other & fits).select(F.col("guide.set_key").alias("set_key"), "target").distinct()
+
+
+def _piles(blocks: DataFrame, near: DataFrame) -> DataFrame:
+    """Groups dealt anew: crowds of joined sets lie in blocks of their own, the rest of a group in others.
+
+    ``part`` is the component of all sets of a block, or the block itself if they have several (``mixed``).
+    """
+    known = blocks.join(near, F.col("set_key") == F.col("node"), "left").select(
+        *(c for c in blocks.columns if c not in ("block", "lows")), F.coalesce("root", "set_key").alias("root")
+    )
+    counts = known.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"))
+    counts = stage(counts.withColumn("crowd", F.when(F.col("rows") >= CROWD, F.col("root"))), "joined-sets")
+    piles = counts.groupBy("grp", "crowd").agg(
+        F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"), (F.min("root") != F.max("root")).alias("mixed")
+    )
+    piles = piles.select(
+        F.col("grp").alias("of_grp"), F.col("crowd").alias("of_crowd"), "mixed", _dealt("rows", "tokens").alias("dealt")
+    )
+    same = (F.col("grp") == F.col("of_grp")) & F.col("crowd").eqNullSafe(F.col("of_crowd"))
+    dealt = counts.join(piles, same).select("grp", "root", "crowd", "mixed", "dealt")
+    turn = F.pmod(F.xxhash64("set_key"), F.col("dealt"))
+    name = F.xxhash64(F.lit("pile"), "grp", F.coalesce("crowd", F.lit(0)), turn)
+    return known.join(dealt, ["grp", "root"]).withColumn("block", _block(name)).select(
+        "set_key", "rep", "rep_key", "block", "mixed", "split", F.when(F.col("mixed"), F.col("block")).otherwise(F.col("root")).alias("part")
     )
 
 
@@ -403,13 +489,13 @@ def _class_byte(size_class):
 
 
 def _candidates(texts: DataFrame, blocks: DataFrame, levels: bytes, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different blocks to compare."""
+    """Distinct pairs (a, b) of blocks to compare, not all of whose sets are joined."""
     prefixes = texts.mapInArrow(_prefixes(levels, percent), "doc_id long, set_key long, tokens array<long>")
-    reps = blocks.select(F.col("set_key").alias("of_set"), "rep", "block")
+    reps = blocks.select(F.col("set_key").alias("of_set"), "rep", "block", "part")
     owned = prefixes.join(
         reps, (F.col("set_key") == F.col("of_set")) & F.col("doc_id").eqNullSafe(F.col("rep"))
-    ).select("block", F.explode("tokens").alias("token"))
-    matrix = owned.repartition("token").sortWithinPartitions("token", "block")
+    ).select("block", "part", F.explode("tokens").alias("token"))
+    matrix = owned.repartition("token").sortWithinPartitions("token", "part", "block")
     counted = matrix.mapInArrow(_block_pairs, "a long, b long, shared long").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     # The fewest tokens of a set of either class; a hair below, for rounding.
     smaller = F.least(F.col("a").bitwiseAND(F.lit(255)), F.col("b").bitwiseAND(F.lit(255))).cast("double")
@@ -417,27 +503,38 @@ def _candidates(texts: DataFrame, blocks: DataFrame, levels: bytes, percent: int
     return counted.filter(F.col("shared") >= 1 + F.floor(fewest / MORE)).select("a", "b")
 
 
-def _verified(texts: DataFrame, blocks: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links between sets of the same block and of paired blocks."""
+def _visitors(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of the smaller block of each pair, and the other block as ``target``."""
     sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
-    visits = pairs.select(F.col("a").alias("block"), F.col("b").alias("target"))
-    crowd = (
-        visits.join(sizes, "block")
-        .groupBy("target")
-        .agg(F.ceil(F.sum("rows") / VISITORS).cast("int").alias("parts"))
+    rows = [sizes.select(F.col("block").alias(c), F.col("rows").alias(f"rows_{c}")) for c in ("a", "b")]
+    sized = pairs.join(rows[0], "a").join(rows[1], "b")
+    less = F.col("rows_a") <= F.col("rows_b")
+    ways = sized.select(
+        F.when(less, F.col("a")).otherwise(F.col("b")).alias("block"),
+        F.when(less, F.col("b")).otherwise(F.col("a")).alias("target"),
     )
-    several = sizes.filter("rows > 1").select(F.col("block").alias("target"))
+    return blocks.select("set_key", "block").join(ways, "block").select("set_key", "target")
+
+
+def _verified(texts: DataFrame, blocks: DataFrame, within: DataFrame, visitors: DataFrame, percent: int) -> DataFrame:
+    """Links between the sets of the blocks ``within``, and between a block's sets and its ``visitors``."""
+    visitors = stage(visitors, "set-visits")
+    crowd = visitors.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("parts"))
     homes = stage(
-        several.join(crowd, "target", "full_outer").select("target", F.coalesce("parts", F.lit(1)).alias("parts")),
+        within.withColumn("own", F.lit(0))
+        .join(crowd, "target", "full_outer")
+        .select("target", F.coalesce("parts", F.lit(1)).alias("parts"), F.coalesce("own", F.lit(-1)).alias("visits")),
         "open-blocks",
     )
-    # All blocks a set goes to, its own first: no more than there are blocks to compare with.
-    moves = homes.select(F.col("target").alias("block"), "target", "parts", F.lit(0).alias("visits")).union(
-        visits.join(homes, "target").select("block", "target", "parts", F.lit(1).alias("visits"))
+    # All blocks a set goes to, its own too: no more than there are blocks to compare with.
+    moves = (
+        blocks.select("set_key", F.col("block").alias("target"))
+        .join(homes, "target")
+        .unionByName(visitors.join(homes.select("target", "parts", F.lit(1).alias("visits")), "target"))
     )
-    moves = moves.groupBy("block").agg(F.collect_list(F.struct("target", "parts", "visits")).alias("moves"))
+    moves = moves.groupBy("set_key").agg(F.collect_list(F.struct("target", "parts", "visits")).alias("moves"))
     wanted = stage(
-        blocks.join(moves, "block").select(F.col("rep").alias("of_doc"), F.col("rep_key").alias("of_key"), "set_key", "moves"),
+        blocks.join(moves, "set_key").select(F.col("rep").alias("of_doc"), F.col("rep_key").alias("of_key"), "set_key", "moves"),
         "candidate-sets",
     )
     # The candidates grow with the documents: merged at any size, and never sent to all executors.

@@ -151,6 +151,71 @@ def test_near_copies_in_a_large_group(spark):
     assert Counter(map(tuple, jaccard_components(frame).collect())) == brute_components(texts)
 
 
+def near_copies(n, families=1):
+    """Copies of a text of 120 words, a few of them changed in each; most are linked through others."""
+    rng = np.random.default_rng(n)
+    texts = []
+    for i in range(n):
+        words = [f"f{i % families}v{k}" for k in range(120)]
+        for k in rng.integers(0, 120, rng.integers(0, 4)):
+            words[k] = f"e{rng.integers(0, 99)}"
+        texts.append((i, " ".join(words)))
+    return texts
+
+
+def test_visits_grow_as_a_group_of_near_copies(spark, monkeypatch):
+    plain, visits = jaccard_join._links, {}
+    for n in (1500, 6000):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counting(percent, seen=seen):
+            def run(batches):
+                def counted():
+                    for batch in batches:
+                        seen.add(batch.num_rows)
+                        yield batch
+
+                yield from plain(percent)(counted())
+
+            return run
+
+        monkeypatch.setattr(jaccard_join, "_links", counting)
+        texts = near_copies(n)
+        frame = spark.createDataFrame(texts, "doc_id long, text string")
+        found = Counter(r["component_id"] for r in jaccard_components(frame).collect())
+        assert max(found.values()) > 0.75 * n  # those with three changes are linked with few
+        visits[n] = seen.value
+    assert visits[6000] < 6 * visits[1500]
+
+
+@pytest.mark.parametrize("crowd, sets", [(4, 8), (64, 16)])
+def test_dealing_groups_anew_loses_no_link(spark, monkeypatch, crowd, sets):
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", sets)
+    rng = np.random.default_rng(crowd)
+    texts = near_copies(300, 3)
+    for i in range(300, 400):  # farther copies, some of which link two others
+        words = [f"f{i % 3}v{k}" for k in range(120)]
+        for k in rng.integers(0, 120, 3 + i % 5):
+            words[k] = f"h{rng.integers(0, 9)}"
+        texts.append((i, " ".join(words[: 120 - i % 7])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    assert Counter(map(tuple, jaccard_components(frame).collect())) == brute_components(texts)
+
+
+def test_block_pairs_leave_out_blocks_of_one_component():
+    rows = [(t, p, 256 * b + 3) for t in (1, 2) for p, b in ((5, 1), (5, 2), (7, 3), (9, 9))]
+    columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+    whole = pa.record_batch(columns, ["token", "part", "block"])
+    want = {(x, y): 2 for x, y in ((1, 3), (2, 3), (1, 9), (2, 9), (3, 9))}
+    for cut in (8, 3, 1):
+        found = Counter()
+        for made in jaccard_join._block_pairs(whole.slice(k, cut) for k in range(0, 8, cut)):
+            for r in made.to_pylist():
+                found[r["a"] >> 8, r["b"] >> 8] += r["shared"]
+        assert found == want
+
+
 def test_texts_without_an_id_meet_their_own_sets_only(spark, monkeypatch):
     texts = [" ".join(f"g{g}w{k}" for k in range(60)) + f" end{i}" for g in range(6) for i in range(3)]
     frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
