@@ -16,6 +16,7 @@ from .merge import (
     append_rows,
     check_unique_source,
     insert_missing,
+    merge_latest,
     merge_sorted,
     merge_update,
     merge_upsert,
