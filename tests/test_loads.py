@@ -12,6 +12,7 @@ from tests.test_tables_and_streams import deliver, files
 from stratalake.operators import merge_sorted, merge_upsert, upsert_table
 from stratalake.operators.facts import source_hash
 from stratalake.plans import gold as gold_plan
+from stratalake.plans import silver as silver_plan
 from stratalake.plans import run_bronze, run_gold, run_silver
 from stratalake.schemas import SILVER, struct
 from stratalake.sources import Lakehouse, scratch_root, stage
@@ -286,3 +287,50 @@ def test_stream_batches_of_new_keys_are_appended(spark, lake, tmp_path):
     lake.set_properties("silver", "t", **{k: 0 for k in lake.properties("silver", "t") if k.startswith("stream")})
     run()  # and so is the note in the table: it is merged again
     assert rows(lake.read_layer("silver", "t"), "id", "v") == [("a", 2), ("b", 1), ("c", 1), ("d", 1)]
+
+
+@pytest.mark.parametrize("numbers", [range(40), range(0, 40, 3)])
+def test_many_corrections_are_written_once(shop, conf, monkeypatch, numbers):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    run_gold(shop, T1, **DAYS)
+    shop.arrive("2.csv", *(sale(n, quantity=9) for n in numbers), sale(50), sale(51, price="-1"))
+    run_silver(shop)
+    labels, stage_as = [], gold_plan.stage
+
+    def staged(rows, label="staged", codec=None):
+        labels.append(label)
+        return stage_as(rows, label, codec)
+
+    monkeypatch.setattr(gold_plan, "stage", staged)
+    run_gold(shop, T2, **DAYS)
+    assert [label for label in labels if label != "changed-sales"] in ([], ["fact-lines"])
+    if len(numbers) == 40:  # each bucket with a sale has one to replace, so the lines go where they belong
+        assert "new-sales" not in labels
+    made = shop.read_layer("gold", "fact_sales")
+    wanted = {f"S{n}": 9 if n in numbers else 2 for n in range(40)} | {"S50": 2}
+    assert rows(made, "sale_id", "quantity") == sorted(wanted.items())
+    changed = {f"S{n}" for n in numbers} | {"S50"}
+    assert {r[0] for r in made.filter(F.col("load_ts") == T2).select("sale_id").collect()} == changed
+    before = files(shop, "gold", "fact_sales")
+    run_gold(shop, T3, full=True, **DAYS)  # nothing has changed since
+    assert files(shop, "gold", "fact_sales") == before
+
+
+def test_many_corrections_of_a_repeated_sale_replace_all_its_rows(shop, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    run_gold(shop, T1, **DAYS)
+    shop.arrive("2.csv", sale(3, quantity=9), sale(4), sale(4))
+    run_silver(shop, sales="append")
+    run_gold(shop, T2, **DAYS)
+    got = shop.read_layer("gold", "fact_sales").filter(F.col("sale_id").isin("S3", "S4", "S5"))
+    assert rows(got, "sale_id", "quantity") == [("S3", 2), ("S3", 9), ("S4", 2), ("S5", 2)]
+
+
+def test_a_first_load_is_not_staged(shop, monkeypatch):
+    shop.clear_tables()
+    labels = []
+    monkeypatch.setattr(silver_plan, "stage", lambda rows, label="staged", codec=None: labels.append(label) or stage(rows, label, codec))
+    run_silver(shop)
+    assert labels == ["employee"] or labels == []
+    assert shop.read_layer("silver", "sales_clean").count() == 40
+    assert shop.read_layer("silver", "customer_clean").count() == 2

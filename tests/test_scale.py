@@ -5,12 +5,13 @@ import glob
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from checks.queries import land
+from checks import feeds
+from checks.queries import land, spread
 from stratalake.operators import dedupe_latest, fact_sales, merge_latest, merge_sorted, merge_upsert, upsert_table
 from stratalake.operators.facts import source_hash
 from stratalake.plans import sales_upsert_latest
 from stratalake.schemas import GOLD, SILVER, struct
-from stratalake.sources import stage
+from stratalake.sources import exchanged, stage
 
 COLUMNS = "k string, v int, imported_date int, source_file string"
 ARRIVAL = ["imported_date", "source_file"]
@@ -101,3 +102,23 @@ def test_fact_carries_short_hashes_and_decimals(spark, frame, conf):
     assert "unit_price#" not in plan(made).split("Exchange ", 1)[1].split("Project", 1)[0]
     row = made.first()
     assert [str(row[c]) for c in ("unit_price", "discount_amt", "gross_amt", "net_amt")] == ["1.01", "0.38", "3.03", "2.65"]
+
+
+def test_feed_lines_are_dealt_before_they_widen(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    for feed, late in ((feeds.sales_feed, "coupon_code"), (feeds.product_feed, "product_name")):
+        rows_of = spread(feed, spark, sf_dir)
+        explained = plan(rows_of)
+        assert "REPARTITION_BY_COL" in explained and exchanged(rows_of)
+        assert f"AS {late}#" not in explained.split("REPARTITION_BY_COL", 1)[1]
+        assert rows(rows_of) == rows(feed(spark, sf_dir))
+
+
+def test_amounts_are_reckoned_after_lines_are_gathered(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    sales = stage(spark.createDataFrame([("1", None, "c", "p", "s", "e", 3, 1.005, None, 12.5, "m", "f", None)], struct(SILVER["sales_clean"])))
+    dims = [stage(spark.createDataFrame([], struct(GOLD[f"dim_{d}"]))) for d in ("date", "customer", "employee", "product", "store")]
+    dealt = fact_sales(sales, *dims, "2024-01-01 00:00:00", gather=lambda keyed: keyed.withColumn("b", F.length("sale_id")).repartition("b"))
+    assert "net_amt#" not in plan(dealt).split("Exchange hashpartitioning(b", 1)[1]
+    plain = fact_sales(sales, *dims, "2024-01-01 00:00:00")
+    assert dealt.columns == [*plain.columns, "b"] and rows(dealt.drop("b")) == rows(plain)
