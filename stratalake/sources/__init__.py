@@ -1,6 +1,6 @@
 from .csv_files import read_csv_batch
 from .sizes import estimated_bytes, exchanged, fits_broadcast
-from .staging import scratch_path, scratch_root, stage, staged_for_load
+from .staging import scratch_path, scratch_root, shuffles_dropped, stage, staged_for_load
 from .tables import Lakehouse
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "read_csv_batch",
     "scratch_path",
     "scratch_root",
+    "shuffles_dropped",
     "stage",
     "staged_for_load",
 ]

@@ -1,17 +1,19 @@
 """What merges and loads move, and that they do the same with less."""
 
 import glob
+import os
+import time
 
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from checks import feeds
-from checks.queries import land, spread
+from checks.queries import _landed, land, spread
 from stratalake.operators import dedupe_latest, fact_sales, merge_latest, merge_sorted, merge_upsert, upsert_table
 from stratalake.operators.facts import source_hash
 from stratalake.plans import sales_upsert_latest
 from stratalake.schemas import GOLD, SILVER, struct
-from stratalake.sources import exchanged, stage
+from stratalake.sources import exchanged, shuffles_dropped, stage, staged_for_load
 
 COLUMNS = "k string, v int, imported_date int, source_file string"
 ARRIVAL = ["imported_date", "source_file"]
@@ -122,3 +124,39 @@ def test_amounts_are_reckoned_after_lines_are_gathered(spark, conf):
     assert "net_amt#" not in plan(dealt).split("Exchange hashpartitioning(b", 1)[1]
     plain = fact_sales(sales, *dims, "2024-01-01 00:00:00")
     assert dealt.columns == [*plain.columns, "b"] and rows(dealt.drop("b")) == rows(plain)
+
+
+def test_shuffle_files_go_when_a_job_of_a_load_ends(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses
+
+    def shuffled():
+        before = kept().size()
+        stage(spark.range(100).repartition(3, "id"))
+        for _ in range(50):
+            if kept().size() <= before:
+                return False
+            time.sleep(0.1)
+        return True
+
+    before = spark.conf.get(name, None)
+    with staged_for_load(spark), staged_for_load(spark):
+        assert not shuffled()
+        with shuffles_dropped(spark):
+            pass
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
+
+
+def test_landing_goes_when_bronze_has_taken_it_in(spark):
+    lake, landing = _landed(spark, "/root/testdata/sf0.001", feeds.sales_feed(spark, "/root/testdata/sf0.001"))
+    assert not any(os.path.exists(folder.removeprefix("file:")) for folder in landing.values())
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert lake.read_layer("raw", "sales_raw").count() == lake.read_layer("raw", "product").count() == lines
+
+
+def test_rows_staged_apart_are_read_by_value(spark):
+    apart = stage(spark.range(40).selectExpr("id % 4 AS part", "id"), by="part")
+    assert apart.columns == ["part", "id"] and rows(apart) == sorted(((n % 4, n) for n in range(40)), key=repr)
+    assert {f.rsplit("/", 2)[1] for f in apart.filter("part = 3").inputFiles()} <= {f"part={n}" for n in range(4)}
+    assert "PartitionFilters: [isnotnull(part" in plan(apart.filter("part = 3"))
