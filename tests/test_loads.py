@@ -334,3 +334,84 @@ def test_a_first_load_is_not_staged(shop, monkeypatch):
     assert labels == ["employee"] or labels == []
     assert shop.read_layer("silver", "sales_clean").count() == 40
     assert shop.read_layer("silver", "customer_clean").count() == 2
+
+
+def test_corrected_sales_alone_make_the_new_lines(shop, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    run_gold(shop, T1, **DAYS)
+    shop.arrive("2.csv", *(sale(n, quantity=9) for n in range(0, 40, 3)))
+    run_silver(shop)
+    seen, made = [], gold_plan.fact_sales
+    monkeypatch.setattr(gold_plan, "fact_sales", lambda sales, *a, **k: seen.append(plan(sales)) or made(sales, *a, **k))
+    run_gold(shop, T2, **DAYS)
+    # Neither are sales picked by id from all of silver, nor those looked at that no load has written since.
+    assert len(seen) == 1 and "LeftSemi" not in seen[0] and "_load" in seen[0]
+    wanted = {f"S{n}": 9 if n % 3 == 0 else 2 for n in range(40)}
+    assert rows(shop.read_layer("gold", "fact_sales"), "sale_id", "quantity") == sorted(wanted.items())
+
+
+def test_loads_of_some_buckets_after_others_give_the_same(shop, conf, monkeypatch):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shop.clear_tables()
+    shop.at_once = 1  # bytes: each bucket by itself
+    written = []
+    for name in ("append_rows", "replace_buckets"):
+        write = getattr(Lakehouse, name)
+        monkeypatch.setattr(
+            Lakehouse, name, lambda self, layer, table, *a, _w=write, **k: written.append((layer, table)) or _w(self, layer, table, *a, **k)
+        )
+    run_silver(shop)
+    run_gold(shop, T1, **DAYS)
+    assert written.count(("gold", "fact_sales")) == 8
+    shop.arrive("2.csv", *(sale(n, quantity=9) for n in range(0, 40, 3)), sale(50), sale(51, price="-1"))
+    written.clear()
+    run_silver(shop)
+    assert written.count(("silver", "sales_clean")) > 1
+    run_gold(shop, T2, **DAYS)
+    wanted = {f"S{n}": 9 if n % 3 == 0 else 2 for n in range(40)} | {"S50": 2}
+    got = shop.read_layer("gold", "fact_sales")
+    assert rows(got, "sale_id", "quantity") == sorted(wanted.items())
+    assert got.filter(F.col("load_ts") == T2).count() == 15
+    # Sales that no load has written since make lines of a changed sale too.
+    shop.arrive("3.csv", sale(4, quantity=7), sale(5, quantity=8), at=T3)
+    run_silver(shop, sales="append")
+    run_gold(shop, T3, **DAYS)
+    found = shop.read_layer("gold", "fact_sales").filter(F.col("sale_id").isin("S4", "S5", "S6"))
+    assert rows(found, "sale_id", "quantity") == [("S4", 2), ("S4", 7), ("S5", 2), ("S5", 8), ("S6", 9)]
+
+
+def test_a_sliced_first_load_that_fails_is_made_up_for(shop, monkeypatch):
+    shop.at_once = 1
+    append, calls = Lakehouse.append_rows, []
+
+    def failing(self, layer, table, *a, **k):
+        if table == "fact_sales":
+            calls.append(table)
+            if len(calls) == 3:
+                raise RuntimeError("killed")
+        append(self, layer, table, *a, **k)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Lakehouse, "append_rows", failing)
+        with pytest.raises(RuntimeError, match="killed"):
+            run_gold(shop, T1, **DAYS)
+    run_gold(shop, T2, **DAYS)
+    got = shop.read_layer("gold", "fact_sales")
+    assert got.count() == got.select("sale_id").distinct().count() == 40
+
+
+def test_buckets_that_moved_can_be_dropped(shop):
+    run_gold(shop, T1, **DAYS)
+    shop.arrive("2.csv", sale(7, quantity=9))
+    run_silver(shop)
+    run_gold(shop, T2, **DAYS)
+    tables = [("silver", "sales_clean"), ("gold", "fact_sales")]
+    content = [rows(shop.read_layer(*t)) for t in tables]
+    dropped = shop.drop_unused(datetime.now() + timedelta(minutes=1), tables)
+    assert len([p for p in dropped if "/initial/_bucket=" in p]) == 2  # the table's first folder is still in use
+    assert not any(os.path.exists(p) for p in dropped)
+    assert [rows(shop.read_layer(*t)) for t in tables] == content
+    shop.arrive("3.csv", sale(7, quantity=5), sale(60), at=T3)
+    run_silver(shop)
+    run_gold(shop, T3, **DAYS)
+    assert [r[-1] for r in fact(shop, "S60", "S7")] == [2, 5]
